@@ -173,3 +173,312 @@ def q_score_formats(spark: SparkSession, sf: str) -> DataFrame:
     x = st.crossJoin(F.broadcast(rules.scoring_settings(spark)))
     return x.select("player_id", "season", "scoring_format",
                     r6(score_expr({s: s for s, _ in ACTUAL_FIELDS}, F.col("position"))).alias("points"))
+
+
+# ---------------------------------------------------------------------------
+# Step 6-7: grading and calibration
+# ---------------------------------------------------------------------------
+
+from touchline.plans import grading  # noqa: E402
+
+_METRIC_COLS = ("mae", "rmse", "bias", "pearson", "spearman", "band_pct")
+
+
+def _snap_ctes(target_sql: str, fmt: str | None = None) -> list[str]:
+    """SQL: season totals -> lines for ``target_sql`` -> priced, rounded snapshot rows ``snap``."""
+    lo, hi = O.band_sql("x.points_raw", "x.position", "x.games")
+    where = f"WHERE ss.scoring_format = '{fmt}'" if fmt else ""
+    return [
+        O.season_totals_ctes(),
+        O.projection_ctes(f"target = ({target_sql})"),
+        f"""priced AS (
+  SELECT l.*, ss.scoring_format, {O.score_sql(O.LINE_INPUTS, 'l.position')} AS points_raw
+  FROM lines l CROSS JOIN scoring_settings ss {where}
+)""",
+        f"""snap AS (
+  SELECT x.player_id, CAST(x.season AS INTEGER) AS season, x.scoring_format,
+    round(x.points_raw, 2) AS projected_points, round({lo}, 2) AS floor, round({hi}, 2) AS ceiling,
+    x.position AS line_position, x.games
+  FROM priced x
+)""",
+    ]
+
+
+def _act_cte(fmt: str) -> list[str]:
+    return [
+        O.season_totals_ctes("act_totals", "week <= 18", fields=ACTUAL_FIELDS),
+        f"""act AS (
+  SELECT a.player_id, a.season, coalesce(a.position, 'UNK') AS position, a.games,
+    {O.score_sql({s: 'a.' + s for s, _ in ACTUAL_FIELDS}, "coalesce(a.position, 'UNK')")} AS actual
+  FROM act_totals a JOIN scoring_settings ss ON ss.scoring_format = '{fmt}'
+)""",
+    ]
+
+
+_EVAL_CTE = """evals AS (
+  SELECT p.player_id, coalesce(a.position, 'UNK') AS position, p.projected_points AS projected,
+    coalesce(a.actual, CAST('0.0' AS DOUBLE)) AS actual, p.floor, p.ceiling,
+    CAST(coalesce(a.games, 0) AS BIGINT) AS games
+  FROM snap p LEFT JOIN act a ON a.player_id = p.player_id AND a.season = p.season
+  WHERE coalesce(a.games, 0) >= 1
+)"""
+
+_RANK_CTE = """ev_r AS (
+  SELECT *,
+    CAST(rank() OVER (ORDER BY projected) AS DOUBLE) + CAST(count(*) OVER (PARTITION BY projected) - 1 AS DOUBLE) / 2 AS rp_all,
+    CAST(rank() OVER (ORDER BY actual) AS DOUBLE) + CAST(count(*) OVER (PARTITION BY actual) - 1 AS DOUBLE) / 2 AS ra_all,
+    CAST(rank() OVER (PARTITION BY position ORDER BY projected) AS DOUBLE)
+      + CAST(count(*) OVER (PARTITION BY position, projected) - 1 AS DOUBLE) / 2 AS rp_pos,
+    CAST(rank() OVER (PARTITION BY position ORDER BY actual) AS DOUBLE)
+      + CAST(count(*) OVER (PARTITION BY position, actual) - 1 AS DOUBLE) / 2 AS ra_pos
+  FROM evals
+)"""
+
+
+def _pearson_sql(x: str, y: str) -> str:
+    return (f"CASE WHEN count(*) < 2 THEN CAST('0.0' AS DOUBLE) ELSE coalesce(covar_pop({x}, {y}) / "
+            f"nullif(sqrt(var_pop({x}) * var_pop({y})), 0), CAST('0.0' AS DOUBLE)) END")
+
+
+def _metrics_sql(rx: str, ry: str) -> str:
+    z = "CAST('0.0' AS DOUBLE)"
+    return f"""count(*) AS n,
+    round(coalesce(avg(abs(projected - actual)), {z}), 6) AS mae,
+    round(coalesce(sqrt(avg((projected - actual) * (projected - actual))), {z}), 6) AS rmse,
+    round(coalesce(avg(projected - actual), {z}), 6) AS bias,
+    round({_pearson_sql('projected', 'actual')}, 6) AS pearson,
+    round({_pearson_sql(rx, ry)}, 6) AS spearman,
+    round(coalesce(avg(CASE WHEN floor <= actual AND actual <= ceiling THEN 1.0 ELSE 0.0 END), {z}), 6) AS band_pct"""
+
+
+_POS_ORDER_SQL = "CASE position WHEN 'QB' THEN 0 WHEN 'RB' THEN 1 WHEN 'WR' THEN 2 WHEN 'TE' THEN 3 ELSE 4 END"
+_BACKTEST_TARGET = "SELECT max(season) - 1 FROM player_games"
+
+
+def _evals(spark: SparkSession, sf: str, fmt: str = "ppr", min_games: int = 1) -> DataFrame:
+    """Backtest input: the snapshot for the last complete season vs what happened."""
+    pg = binding.player_games(spark, sf)
+    target = _latest_season(pg).select((F.col("latest_season") - 1).alias("target"))
+    settings = rules.scoring_settings(spark, [fmt])
+    snap = snapshot_rows(project_lines(season_totals(pg), targets=target), settings, SNAPSHOT_DATE)
+    acts = grading.actual_points(pg, settings)
+    return grading.build_evals(snap, acts, min_games=min_games)
+
+
+@register("grade_overall_by_group", O.with_base(
+    *_snap_ctes(_BACKTEST_TARGET, "ppr"), *_act_cte("ppr"), _EVAL_CTE, _RANK_CTE) + f"""
+SELECT 'ALL' AS label, {_metrics_sql('rp_all', 'ra_all')}, -1 AS display_order FROM ev_r
+UNION ALL
+SELECT position AS label, {_metrics_sql('rp_pos', 'ra_pos')}, {_POS_ORDER_SQL} AS display_order
+FROM ev_r GROUP BY position""")
+def q_grade(spark: SparkSession, sf: str) -> DataFrame:
+    """DOM-11 + AGG-10..13 + WIN-5 + TOP-3 + JOI-11: backtest metrics, overall and per position."""
+    g = grading.grade(_evals(spark, sf))
+    return g.select("label", "n", *[r6(c).alias(c) for c in _METRIC_COLS], "display_order")
+
+
+@register("eval_ranks", O.with_base(
+    *_snap_ctes(_BACKTEST_TARGET, "ppr"), *_act_cte("ppr"), _EVAL_CTE, _RANK_CTE) + """
+SELECT player_id, position, projected, round(actual, 6) AS actual, rp_all, ra_all, rp_pos, ra_pos FROM ev_r""")
+def q_eval_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    """WIN-5: average (tie-shared) ranks, global and within position, via ordered scans."""
+    from touchline.operators.scan import average_rank
+    e = _evals(spark, sf)
+    r = average_rank(e, "projected", [], "rp_all")
+    r = average_rank(r, "actual", [], "ra_all")
+    r = average_rank(r, "projected", ["position"], "rp_pos")
+    r = average_rank(r, "actual", ["position"], "ra_pos")
+    return r.select("player_id", "position", "projected", r6("actual").alias("actual"),
+                    "rp_all", "ra_all", "rp_pos", "ra_pos")
+
+
+@register("biggest_misses", O.with_base(
+    *_snap_ctes(_BACKTEST_TARGET, "ppr"), *_act_cte("ppr"), _EVAL_CTE) + """
+SELECT player_id, position, projected, round(actual, 6) AS actual, round(projected - actual, 6) AS error
+FROM evals ORDER BY abs(projected - actual) DESC, player_id LIMIT 10""")
+def q_biggest_misses(spark: SparkSession, sf: str) -> DataFrame:
+    """TOP-2: the ten largest absolute errors of the backtest."""
+    m = grading.biggest_misses(_evals(spark, sf), 10)
+    return m.select("player_id", "position", "projected", r6("actual").alias("actual"),
+                    r6("error").alias("error"))
+
+
+_SWEEP_CTE = f"""sweep AS (
+  SELECT unnest(range(greatest(lo + {rules.MIN_LOOKBACK}, hi - {rules.DEFAULT_NUM_SEASONS - 1}), hi + 1)) AS season
+  FROM (SELECT min(season) AS lo, max(season) AS hi FROM player_games) b
+)"""
+_TARGET_COV = grading.target_coverage()
+_SAMPLES_CTE = f"""samples AS (
+  SELECT * FROM (
+    SELECT x.season, x.player_id, coalesce(a.position, x.position) AS position,
+      coalesce(a.games, 0) AS played,
+      CASE WHEN x.points_raw > 0 THEN abs(coalesce(a.actual, CAST('0.0' AS DOUBLE)) / x.points_raw - CAST('1.0' AS DOUBLE))
+        / sqrt(CAST('17.0' AS DOUBLE) / greatest(CAST('1.0' AS DOUBLE), x.games)) END AS r
+    FROM priced x LEFT JOIN act a ON a.player_id = x.player_id AND a.season = x.season
+  ) s WHERE played >= 0 AND r IS NOT NULL
+)"""
+_CAL_CTES = [
+    _SWEEP_CTE, O.season_totals_ctes(), O.projection_ctes("target IN (SELECT season FROM sweep)"),
+    f"""priced AS (
+  SELECT l.*, {O.score_sql(O.LINE_INPUTS, 'l.position')} AS points_raw
+  FROM lines l JOIN scoring_settings ss ON ss.scoring_format = 'ppr'
+)""",
+    *_act_cte("ppr"), _SAMPLES_CTE,
+    f"""recs AS (
+  SELECT position, count(*) AS n,
+    {O.case_map('position', rules.POSITION_COV, O.d(rules.DEFAULT_COV))} AS current_cov,
+    avg(CASE WHEN r <= {O.d(rules.BAND_Z)} * {O.case_map('position', rules.POSITION_COV, O.d(rules.DEFAULT_COV))}
+        THEN 1.0 ELSE 0.0 END) AS current_coverage,
+    quantile_cont(r, {O.d(_TARGET_COV)}) / {O.d(rules.BAND_Z)} AS recommended_cov,
+    {O.d(_TARGET_COV)} AS target_coverage,
+    {_POS_ORDER_SQL} AS display_order
+  FROM samples GROUP BY position
+)""",
+]
+
+
+def _recs(spark: SparkSession, sf: str) -> DataFrame:
+    pg = binding.player_games(spark, sf)
+    seasons = grading.projectable_seasons(pg)
+    samples = grading.calibration_samples(pg, rules.scoring_settings(spark, ["ppr"]), seasons, min_games=0)
+    return grading.recommend_covs(samples)
+
+
+@register("calibrate_cov", O.with_base(*_CAL_CTES) + """
+SELECT position, n, current_cov, round(current_coverage, 6) AS current_coverage,
+  round(recommended_cov, 6) AS recommended_cov, target_coverage, display_order FROM recs""")
+def q_calibrate(spark: SparkSession, sf: str) -> DataFrame:
+    """DOM-12..14 + AGG-14/15 + TOP-4: recalibrated band covs over the last four projectable seasons."""
+    r = _recs(spark, sf)
+    return r.select("position", "n", "current_cov", r6("current_coverage").alias("current_coverage"),
+                    r6("recommended_cov").alias("recommended_cov"), "target_coverage", "display_order")
+
+
+@register("cov_merge", O.with_base(*_CAL_CTES, f"""model_covs AS (SELECT * FROM (VALUES {', '.join(
+    f"('{p}', {O.d(v)}, {i})" for i, (p, v) in enumerate(rules.POSITION_COV.items()))}) AS t(position, cov, model_order))""") + """
+SELECT m.position, round(coalesce(r.recommended_cov, m.cov), 6) AS cov, m.model_order
+FROM model_covs m LEFT JOIN recs r ON r.position = m.position""")
+def q_cov_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """DOM-15: the model's cov table with recommendations applied; unknown positions dropped."""
+    m = grading.merge_covs(spark, _recs(spark, sf))
+    return m.select("position", r6("cov").alias("cov"), "model_order")
+
+
+# ---------------------------------------------------------------------------
+# Step 8: draft board
+# ---------------------------------------------------------------------------
+
+from touchline.plans import board as board_plan  # noqa: E402
+
+_LEAGUE = rules.DEFAULT_LEAGUE
+_NEXT_TARGET = "SELECT max(season) + 1 FROM player_games"
+
+
+def _board_players(spark: SparkSession, sf: str) -> DataFrame:
+    """JOI-12 + FLT-3: next-season ppr projections joined to the dimension's position."""
+    pg = binding.player_games(spark, sf)
+    target = _latest_season(pg).select((F.col("latest_season") + 1).alias("target"))
+    snap = snapshot_rows(project_lines(season_totals(pg), targets=target),
+                         rules.scoring_settings(spark, [_LEAGUE["scoring_format"]]), SNAPSHOT_DATE)
+    dim = binding.player_dim(spark, sf).select("player_id", "position")
+    return (snap.select("player_id", F.col("projected_points").alias("points"), "floor", "ceiling")
+            .join(dim, "player_id").filter(F.col("position").isin(list(rules.SKILL_POSITIONS))))
+
+
+def _board_sql_ctes() -> list[str]:
+    roster, teams = _LEAGUE["roster"], _LEAGUE["teams"]
+    base = board_plan.base_counts(roster, teams)
+    ctes = [
+        *_snap_ctes(_NEXT_TARGET, _LEAGUE["scoring_format"]),
+        f"""bp AS (
+  SELECT s.player_id, d.position, s.projected_points AS points, s.floor, s.ceiling
+  FROM snap s JOIN player_dim d ON d.player_id = s.player_id WHERE d.position IN ({O.SKILL})
+)""",
+        """pranked AS (SELECT *, row_number() OVER (PARTITION BY position ORDER BY points DESC, player_id) AS prank FROM bp)""",
+        "counts0 AS (SELECT * FROM (VALUES " + ", ".join(f"('{p}', {n})" for p, n in base.items())
+        + ") AS t(position, starters))",
+    ]
+    k = 0
+    for key, eligible in rules.FLEX_KEYS:
+        slots = int(roster.get(key, 0)) * teams
+        if slots <= 0:
+            continue
+        eidx = "CASE " + " ".join(f"WHEN c.position = '{p}' THEN {i}" for i, p in enumerate(eligible)) + " END"
+        elig = ", ".join(f"'{p}'" for p in eligible)
+        ctes.append(f"""pick{k + 1} AS (
+  SELECT position, count(*) AS add FROM (
+    SELECT c.position, row_number() OVER (ORDER BY c.points DESC, {eidx}, c.prank) AS o
+    FROM pranked c JOIN counts{k} k ON k.position = c.position
+    WHERE c.position IN ({elig}) AND c.prank > k.starters
+  ) z WHERE o <= {slots} GROUP BY position
+),
+counts{k + 1} AS (
+  SELECT k.position, k.starters + coalesce(p.add, 0) AS starters
+  FROM counts{k} k LEFT JOIN pick{k + 1} p ON p.position = k.position
+)""")
+        k += 1
+    ctes.append(f"starters AS (SELECT position, CAST(starters AS BIGINT) AS starters FROM counts{k})")
+    ctes.append("""repl AS (
+  SELECT w.position, coalesce(p.points, 0.0) AS replacement FROM (
+    SELECT s.position, least(coalesce(st.starters, 0) + 1, s.pool_size) AS want
+    FROM (SELECT position, count(*) AS pool_size FROM bp GROUP BY position) s
+    LEFT JOIN starters st ON st.position = s.position
+  ) w LEFT JOIN pranked p ON p.position = w.position AND p.prank = w.want
+)""")
+    ctes.append(f"""ranked_board AS (
+  SELECT b.*, b.points - coalesce(r.replacement, 0.0) AS vor
+  FROM bp b LEFT JOIN repl r ON r.position = b.position
+),
+board AS (
+  SELECT *, row_number() OVER (ORDER BY vor DESC, player_id) AS overall_rank,
+    row_number() OVER (PARTITION BY position ORDER BY vor DESC, player_id) AS position_rank,
+    lag(vor) OVER (PARTITION BY position ORDER BY vor DESC, player_id) - vor AS gap
+  FROM ranked_board
+),
+medians AS (SELECT position, median(gap) AS median_gap FROM board WHERE gap > 0 GROUP BY position),
+tiered AS (
+  SELECT b.*, coalesce(st.starters, 0) AS starters,
+    1 + sum(CASE WHEN m.median_gap IS NOT NULL AND b.gap > {O.d(rules.TIER_FACTOR)} * m.median_gap THEN 1 ELSE 0 END)
+      OVER (PARTITION BY b.position ORDER BY b.vor DESC, b.player_id ROWS UNBOUNDED PRECEDING) AS tier
+  FROM board b LEFT JOIN medians m ON m.position = b.position LEFT JOIN starters st ON st.position = b.position
+)""")
+    return ctes
+
+
+@register("starter_counts", O.with_base(*_board_sql_ctes()) + "\nSELECT position, starters FROM starters")
+def q_starter_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """DOM-16: leaguewide starters per position after greedy flex allocation."""
+    return board_plan.starter_counts(spark, _board_players(spark, sf), _LEAGUE["roster"], _LEAGUE["teams"])
+
+
+@register("replacement", O.with_base(*_board_sql_ctes()) + "\nSELECT position, replacement FROM repl")
+def q_replacement(spark: SparkSession, sf: str) -> DataFrame:
+    """DOM-17 / WIN-11: replacement points per position."""
+    players = _board_players(spark, sf)
+    roster, teams = _LEAGUE["roster"], _LEAGUE["teams"]
+    st = board_plan.starter_counts(spark, players, roster, teams)
+    return board_plan.replacement_levels(players, st, board_plan.candidate_depth(roster, teams))
+
+
+@register("vor_board", O.with_base(*_board_sql_ctes()) + """
+SELECT player_id, position, points, floor, ceiling, round(vor, 6) AS vor,
+  overall_rank, position_rank, CAST(tier AS INTEGER) AS tier, position_rank <= starters AS starter
+FROM tiered""")
+def q_vor_board(spark: SparkSession, sf: str) -> DataFrame:
+    """DOM-18 + WIN-8..10 + AGG-16: the full value-over-replacement board with tiers."""
+    b = board_plan.build_board(spark, _board_players(spark, sf), _LEAGUE["roster"], _LEAGUE["teams"])
+    return b.select("player_id", "position", "points", "floor", "ceiling", r6("vor").alias("vor"),
+                    "overall_rank", "position_rank", "tier", "starter")
+
+
+@register("board_flex_view", O.with_base(*_board_sql_ctes()) + """
+SELECT player_id, position, overall_rank, CAST(tier AS INTEGER) AS tier,
+  position || CAST(position_rank AS VARCHAR) AS pos_label, position || '-' || CAST(tier AS VARCHAR) AS tier_label
+FROM tiered WHERE upper(position) IN ('RB', 'WR', 'TE')""")
+def q_board_flex(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-8 + SCA-17: the board filtered to FLEX with 'RB7' / 'RB-2' labels."""
+    b = board_plan.build_board(spark, _board_players(spark, sf), _LEAGUE["roster"], _LEAGUE["teams"])
+    b = board_plan.filter_position(b, "flex")
+    return b.select("player_id", "position", "overall_rank", "tier",
+                    F.concat("position", F.col("position_rank").cast("string")).alias("pos_label"),
+                    F.concat_ws("-", "position", F.col("tier").cast("string")).alias("tier_label"))
