@@ -102,12 +102,27 @@ def build_board(spark: SparkSession, players: DataFrame, roster: dict, teams: in
     b = b.join(F.broadcast(starters), "position", "left").withColumn(
         "starter", F.col("position_rank") <= F.coalesce(F.col("starters"), F.lit(0))).drop("starters")
 
+    b = assign_tiers(b, tier_factor)
+    return b.select("player_id", "position", "points", "floor", "ceiling", "vor",
+                    "overall_rank", "position_rank", "tier", "starter")
+
+
+def assign_tiers(b: DataFrame, tier_factor: float = rules.TIER_FACTOR) -> DataFrame:
+    """WIN-9 + AGG-16 + WIN-10: per-position tiers from VOR gaps.
+
+    ``b`` needs (player_id, position, vor); ``position_rank`` (vor desc, player_id)
+    is added when absent.  A break falls where the drop to the next player of the
+    position exceeds ``tier_factor`` x the median positive drop; no positive drop
+    -> one tier.
+    """
+    order = [F.col("vor").desc(), F.col("player_id").asc()]
+    if "position_rank" not in b.columns:
+        b = ordered_scan(b, order, ["position"], row_number="position_rank")
     # WIN-9: the gap to the previous player of the position, by a rank self-join
     prev = b.select("position", (F.col("position_rank") + 1).alias("position_rank"),
                     F.col("vor").alias("prev_vor"))
     b = b.join(prev, ["position", "position_rank"], "left").withColumn(
         "gap", F.col("prev_vor") - F.col("vor")).drop("prev_vor")
-
     # AGG-16: exact median of the positive gaps per position, from ranks
     med = exact_quantile(b.filter(F.col("gap") > 0), "gap", 0.5, ["position"], "median_gap",
                          tie_breaker=["player_id"])
@@ -115,11 +130,9 @@ def build_board(spark: SparkSession, players: DataFrame, roster: dict, teams: in
         "threshold", F.lit(float(tier_factor)) * F.col("median_gap"))
     brk = F.when(F.col("threshold").isNotNull() & (F.col("gap") > F.col("threshold")), 1).otherwise(0)
     # WIN-10: tier = 1 + running count of cliffs in position order
-    b = ordered_scan(b, [F.col("vor").desc(), F.col("player_id").asc()], ["position"],
-                     sums={"breaks": brk}, row_number=None)
-    return b.select("player_id", "position", "points", "floor", "ceiling", "vor",
-                    "overall_rank", "position_rank", (F.col("breaks") + 1).cast("int").alias("tier"),
-                    "starter")
+    b = ordered_scan(b, order, ["position"], sums={"breaks": brk}, row_number=None)
+    return b.withColumn("tier", (F.col("breaks") + 1).cast("int")).drop(
+        "breaks", "gap", "median_gap", "threshold")
 
 
 def filter_position(board: DataFrame, position: str) -> DataFrame:

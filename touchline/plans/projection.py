@@ -168,15 +168,16 @@ def rz_factor(rz: Column, opp: Column, base_rate: Column) -> Column:
         clamp((rz / opp) / base_rate, lo, hi))
 
 
-def project_lines(totals: DataFrame, targets=None) -> DataFrame:
+def project_lines(totals: DataFrame, targets=None, baselines: DataFrame | None = None) -> DataFrame:
     """DOM-8: one projected line per (target season, player) with a usable window.
 
     ``totals`` are skill-position season totals over any span of seasons; the
     window for target T is [T-3, T-1] and baselines pool the same span.
-    Players with no season in the window (rookies) get no row.
+    Players with no season in the window (rookies) get no row.  ``baselines``
+    (target, position, b_*) overrides the pooled baselines, e.g. in tests.
     """
     rows = _window_rows(totals, targets).filter(F.col("games") > 0)
-    base = position_baselines(rows)
+    base = position_baselines(rows) if baselines is None else baselines
 
     grp = Window.partitionBy("target", "player_id")
     rows = (rows
