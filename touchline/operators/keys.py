@@ -41,7 +41,8 @@ def mint_additive(existing: DataFrame, incoming: DataFrame, key: str, id_col: st
     top = max_id(existing, id_col)
     for i, other in enumerate(floor_ids):
         top = top.crossJoin(max_id(other, id_col, f"_max_{i}"))
-    top = top.select(F.greatest(*[F.col(c) for c in top.columns]).alias("_base"))
+    cols = [F.col(c) for c in top.columns]
+    top = top.select((F.greatest(*cols) if len(cols) > 1 else cols[0]).alias("_base"))
     ranked = ordered_scan(new_keys, [F.col(key).asc()], row_number="_rn")
     return ranked.crossJoin(F.broadcast(top)).select(
         (F.col("_base") + F.col("_rn")).cast("long").alias(id_col), key)

@@ -58,17 +58,13 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
         self.spark, self.root, self.partition_by = spark, root.rstrip("/"), list(partition_by)
 
-    def _all(self) -> DataFrame | None:
-        try:
-            return self.spark.read.option("basePath", self.root).parquet(f"{self.root}/v=*")
-        except Exception:  # noqa: BLE001 - no version written yet
-            return None
-
     def version(self) -> int | None:
-        df = self._all()
-        if df is None:
+        """Highest version present, from a file listing only (no data or schema is read)."""
+        try:
+            listing = self.spark.read.format("binaryFile").option("basePath", self.root).load(f"{self.root}/v=*")
+            row = listing.select("v").agg(F.max("v").alias("v")).first()
+        except Exception:  # noqa: BLE001 - nothing committed yet
             return None
-        row = df.agg(F.max("v").alias("v")).first()
         return None if row is None or row["v"] is None else int(row["v"])
 
     def read(self) -> DataFrame | None:

@@ -7,6 +7,7 @@ never from re-reading what was written.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -53,7 +54,8 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """SNK-6: rows breaking a primary key: a NULL key part, or a key seen more than once."""
     keys = list(keys)
-    nulls = df.filter(F.greatest(*[F.col(k).isNull().cast("int") for k in keys]) == 1) \
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    nulls = df.filter(any_null) \
         .select(*keys).withColumn("problem", F.lit("null_key")).withColumn("n", F.lit(1).cast("long"))
     dups = (df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") > 1).withColumn("problem", F.lit("duplicate_key")))

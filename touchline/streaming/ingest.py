@@ -31,7 +31,9 @@ def upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, table
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing))
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        # one row per key inside the batch (latest landed wins is not knowable; keep the max row)
+        if batch.isEmpty():
+            return
+        # one row per key inside a micro-batch
         dedup = batch.dropDuplicates(list(keys))
         table.upsert(dedup, keys)
 
