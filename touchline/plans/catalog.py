@@ -19,6 +19,7 @@ from touchline.plans.projection import (
     ACTUAL_FIELDS, LINE_COLUMNS, LINE_SCORE_INPUTS, TOTAL_FIELDS, project_lines, score_expr,
     season_totals, snapshot_rows,
 )
+from touchline.session import cut_lineage
 from touchline.sources import rules
 
 SNAPSHOT_DATE = "2026-09-01"
@@ -262,7 +263,8 @@ def _evals(spark: SparkSession, sf: str, fmt: str = "ppr", min_games: int = 1) -
     settings = rules.scoring_settings(spark, [fmt])
     snap = snapshot_rows(project_lines(season_totals(pg), targets=target), settings, SNAPSHOT_DATE)
     acts = grading.actual_points(pg, settings)
-    return grading.build_evals(snap, acts, min_games=min_games)
+    # the graded pairs are a table of their own: materialise once for the rank passes
+    return cut_lineage(grading.build_evals(snap, acts, min_games=min_games))
 
 
 @register("grade_overall_by_group", O.with_base(
@@ -341,7 +343,7 @@ def _recs(spark: SparkSession, sf: str) -> DataFrame:
     pg = binding.player_games(spark, sf)
     seasons = grading.projectable_seasons(pg)
     samples = grading.calibration_samples(pg, rules.scoring_settings(spark, ["ppr"]), seasons, min_games=0)
-    return grading.recommend_covs(samples)
+    return grading.recommend_covs(cut_lineage(samples))
 
 
 @register("calibrate_cov", O.with_base(*_CAL_CTES) + """
@@ -448,13 +450,14 @@ tiered AS (
 @register("starter_counts", O.with_base(*_board_sql_ctes()) + "\nSELECT position, starters FROM starters")
 def q_starter_counts(spark: SparkSession, sf: str) -> DataFrame:
     """DOM-16: leaguewide starters per position after greedy flex allocation."""
-    return board_plan.starter_counts(spark, _board_players(spark, sf), _LEAGUE["roster"], _LEAGUE["teams"])
+    players = cut_lineage(_board_players(spark, sf))
+    return board_plan.starter_counts(spark, players, _LEAGUE["roster"], _LEAGUE["teams"])
 
 
 @register("replacement", O.with_base(*_board_sql_ctes()) + "\nSELECT position, replacement FROM repl")
 def q_replacement(spark: SparkSession, sf: str) -> DataFrame:
     """DOM-17 / WIN-11: replacement points per position."""
-    players = _board_players(spark, sf)
+    players = cut_lineage(_board_players(spark, sf))
     roster, teams = _LEAGUE["roster"], _LEAGUE["teams"]
     st = board_plan.starter_counts(spark, players, roster, teams)
     return board_plan.replacement_levels(players, st, board_plan.candidate_depth(roster, teams))
@@ -482,3 +485,77 @@ def q_board_flex(spark: SparkSession, sf: str) -> DataFrame:
     return b.select("player_id", "position", "overall_rank", "tier",
                     F.concat("position", F.col("position_rank").cast("string")).alias("pos_label"),
                     F.concat_ws("-", "position", F.col("tier").cast("string")).alias("tier_label"))
+
+
+# ---------------------------------------------------------------------------
+# Summaries and extensions
+# ---------------------------------------------------------------------------
+
+from touchline.functions.scalars import id_label  # noqa: E402
+from touchline.plans import feeds  # noqa: E402
+from touchline.plans.feeds import SQL_FEEDS  # noqa: E402
+
+
+def _hub_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Display names from the latest hub snapshot, keyed by the entity id."""
+    from touchline.plans import identity
+    latest = identity.latest_snapshot_rows(identity.stage_hub(feeds.raw_hub(spark, sf)))
+    return latest.select(F.substring("sleeper_id", 2, 6).cast("long").alias("player_id"), "full_name")
+
+
+@register("projection_summary", O.with_base(
+    O.season_totals_ctes(), O.projection_ctes(f"target = ({_NEXT_TARGET})"),
+    f"""priced AS (
+  SELECT l.*, {O.score_sql(O.LINE_INPUTS, 'l.position')} AS pts
+  FROM lines l JOIN scoring_settings ss ON ss.scoring_format = 'ppr'
+)""", SQL_FEEDS.strip()) + """
+SELECT coalesce(h.full_name, '#' || CAST(p.player_id AS VARCHAR)) AS player, p.position AS pos, p.games AS g,
+  round(p.pts, 1) AS pts, round(p.proj_pass_yards, 0) AS pass_yd, round(p.proj_rush_yards, 0) AS rush_yd,
+  round(p.proj_receptions, 1) AS rec, round(p.proj_rec_yards, 0) AS rec_yd,
+  round(p.proj_pass_tds + p.proj_rush_tds + p.proj_rec_tds, 1) AS tds
+FROM priced p LEFT JOIN hub_latest h ON CAST(substr(h.sleeper_id, 2, 6) AS BIGINT) = p.player_id
+ORDER BY p.pts DESC, p.player_id LIMIT 25""")
+def q_projection_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """TOP-1 + JOI-14 + SCA-16: the top 25 next-season ppr lines, '#<id>' when no name is known."""
+    lines = _next_season_lines(spark, sf).crossJoin(F.broadcast(rules.scoring_settings(spark, ["ppr"])))
+    lines = lines.withColumn("pts", score_expr(LINE_SCORE_INPUTS, F.col("position")))
+    top = lines.orderBy(F.col("pts").desc(), F.col("player_id")).limit(25)
+    named = top.join(_hub_names(spark, sf), "player_id", "left")
+    return named.select(
+        id_label(F.col("full_name"), F.col("player_id")).alias("player"), F.col("position").alias("pos"),
+        F.col("games").alias("g"), F.round("pts", 1).alias("pts"),
+        F.round("proj_pass_yards", 0).alias("pass_yd"), F.round("proj_rush_yards", 0).alias("rush_yd"),
+        F.round("proj_receptions", 1).alias("rec"), F.round("proj_rec_yards", 0).alias("rec_yd"),
+        F.round(F.col("proj_pass_tds") + F.col("proj_rush_tds") + F.col("proj_rec_tds"), 1).alias("tds"))
+
+
+@register("calibration_samples_per_season", O.with_base(*_CAL_CTES) + """
+SELECT season, count(*) AS samples FROM samples GROUP BY season""")
+def q_samples_per_season(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-18: calibration samples collected per swept season."""
+    pg = binding.player_games(spark, sf)
+    s = grading.calibration_samples(pg, rules.scoring_settings(spark, ["ppr"]), grading.projectable_seasons(pg))
+    return s.groupBy("season").agg(F.count(F.lit(1)).alias("samples"))
+
+
+@register("player_role_history", O.with_base(
+    O.mode_cte("wk_mode", "player_games", ["player_id", "season", "week"], "position")) + """
+SELECT player_id, season, position, min(week) AS week_start, max(week) AS week_end, count(*) AS weeks
+FROM (
+  SELECT player_id, season, week, mode_value AS position,
+    row_number() OVER (PARTITION BY player_id, season ORDER BY week)
+      - row_number() OVER (PARTITION BY player_id, season, mode_value ORDER BY week) AS island
+  FROM wk_mode
+) x GROUP BY player_id, season, position, island""")
+def q_role_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Extension (declared, never built by the reference): gaps-and-islands history of a
+    player's weekly role; windows are per (player, season), so groups stay small."""
+    from pyspark.sql import Window
+    wk = binding.player_games(spark, sf).groupBy("player_id", "season", "week").agg(
+        F.mode("position", True).alias("position"))
+    w1 = Window.partitionBy("player_id", "season").orderBy("week")
+    w2 = Window.partitionBy("player_id", "season", "position").orderBy("week")
+    isl = wk.withColumn("island", F.row_number().over(w1) - F.row_number().over(w2))
+    return isl.groupBy("player_id", "season", "position", "island").agg(
+        F.min("week").alias("week_start"), F.max("week").alias("week_end"),
+        F.count(F.lit(1)).alias("weeks")).drop("island")

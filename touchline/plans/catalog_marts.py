@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline.plans import binding, feeds, identity, marts
 from touchline.plans import oracle as O
 from touchline.plans.catalog import register
+from touchline.session import cut_lineage
 
 INGESTED_AT = "2026-09-01 00:00:00"
 
@@ -26,15 +27,17 @@ SCHED = feeds.SQL_SCHEDULE.strip()
 # ---------------------------------------------------------------------------
 
 def _identity(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    staged = identity.stage_hub(feeds.raw_hub(spark, sf))
+    """The identity tables, each materialised once (they are registries in the reference)."""
+    staged = cut_lineage(identity.stage_hub(feeds.raw_hub(spark, sf)))
     first = staged.join(F.broadcast(staged.agg(F.min("snapshot_date").alias("snapshot_date"))),
                         "snapshot_date", "left_semi")
     latest = identity.latest_snapshot_rows(staged)
     keys0 = identity.hub_keys(first)
     keys1 = identity.hub_keys(latest, existing=keys0)
-    master = identity.stage_master(feeds.raw_master(spark, sf))
-    mkeys = identity.master_keys(master, keys1, latest)
-    xw = identity.crosswalk(keys1, latest, mkeys, master)
+    keys1 = cut_lineage(keys1)
+    master = cut_lineage(identity.stage_master(feeds.raw_master(spark, sf)))
+    mkeys = cut_lineage(identity.master_keys(master, keys1, latest))
+    xw = cut_lineage(identity.crosswalk(keys1, latest, mkeys, master))
     return {"latest": latest, "keys0": keys0, "keys1": keys1, "master": master, "mkeys": mkeys, "xwalk": xw}
 
 

@@ -320,7 +320,8 @@ def fct_team_game_stats(pbp_slice: DataFrame, teams: DataFrame, aliases: Mapping
     """Extension (declared but never built by the reference): per (team, game) offence
     from the play slice, self-joined to the opponent's row for what was allowed."""
     p = pbp_slice.filter(F.col("posteam").isNotNull())
-    off = p.groupBy("game_id", "season", "week", F.col("posteam").alias("team"), F.col("defteam").alias("opp")).agg(
+    off = p.groupBy("game_id", "season", "week", canonical_code(F.col("posteam"), aliases).alias("team"),
+                    canonical_code(F.col("defteam"), aliases).alias("opp")).agg(
         F.count(F.lit(1)).cast("int").alias("plays"),
         F.sum(F.coalesce("yards_gained", F.lit(0))).cast("int").alias("total_yards"),
         F.sum(F.when(F.col("pass_attempt"), F.coalesce("yards_gained", F.lit(0)))).cast("int").alias("pass_yards"),
@@ -334,10 +335,9 @@ def fct_team_game_stats(pbp_slice: DataFrame, teams: DataFrame, aliases: Mapping
                          F.col("pass_yards").alias("pass_yards_allowed"), F.col("rush_yards").alias("rush_yards_allowed"))
     j = off.join(allowed, ["game_id", "opp"], "left")
     t = teams.select("season", "abbr", "team_id")
-    j = j.join(t, (j["season"] == t["season"]) & (t["abbr"] == canonical_code(F.col("team"), aliases)), "left") \
-         .drop(t["season"]).drop("abbr")
-    o = t.select(F.col("season").alias("_s"), F.col("abbr").alias("_a"), F.col("team_id").alias("opponent_id"))
-    j = j.join(o, (F.col("_s") == F.col("season")) & (F.col("_a") == canonical_code(F.col("opp"), aliases)), "left")
+    j = j.join(t.select("season", F.col("abbr").alias("team"), "team_id"), ["season", "team"], "left")
+    o = t.select("season", F.col("abbr").alias("opp"), F.col("team_id").alias("opponent_id"))
+    j = j.join(o, ["season", "opp"], "left")
     return j.select(
         "team_id", "game_id", F.col("season").cast("int"), F.col("week").cast("int"), "opponent_id",
         "is_home", "points", "total_yards", "pass_yards", "rush_yards", "plays",

@@ -129,3 +129,10 @@ REGISTRY: dict[str, DatasetSpec] = {
         DatasetSpec("receiving", "ngs", "parquet", False, ("season",)),
     )
 }
+
+
+def scan_mart(spark: SparkSession, table: str, where: str, **params) -> DataFrame:
+    """SRC-9: a parameterised read of a registered table, values bound as SQL
+    parameters (no string splicing), e.g. ``scan_mart(s, "fct_projections",
+    "season = :season AND week = 0", season=2025)``."""
+    return spark.sql(f"SELECT * FROM {table} WHERE {where}", args=params)
