@@ -102,7 +102,10 @@ def exact_quantile(df: DataFrame, value: str, q: float, by: Sequence[str] = (),
     """AGG-14: linear-interpolated quantile at position q*(n-1), one row per segment.
 
     Computed from global ranks (``ordered_scan``) instead of holding every value
-    of a segment in one aggregation buffer.  NULL values are ignored.
+    of a segment in one aggregation buffer.  The two wanted ranks per segment
+    are joined on (segment, rank), a key unique per row, so a large segment is
+    never routed to one task.  Pass a ``tie_breaker`` so a hot repeated value
+    spreads over range partitions.  NULL values are ignored.
     """
     by = list(by)
     vals = df.filter(F.col(value).isNotNull())
@@ -110,14 +113,14 @@ def exact_quantile(df: DataFrame, value: str, q: float, by: Sequence[str] = (),
     ranked = ordered_scan(vals.select(*by, value, *tie_breaker), order, by, row_number="_r")
     sizes = vals.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     pos = F.lit(float(q)) * (F.col("_n") - 1)
-    sizes = sizes.select(*by, "_n", pos.alias("_pos"),
-                         (F.floor(pos) + 1).alias("_lo"),
+    sizes = sizes.select(*by, pos.alias("_pos"), (F.floor(pos) + 1).alias("_lo"),
                          F.least(F.floor(pos) + 2, F.col("_n")).alias("_hi"))
-    picked = ranked.join(sizes, by, "inner") if by else ranked.crossJoin(sizes)
-    picked = picked.filter((F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi")))
+    wanted = sizes.select(*by, "_pos", "_lo", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r"))
+    picked = ranked.select(*by, "_r", value).join(wanted, [*by, "_r"])
     agg = picked.groupBy(*by, "_pos", "_lo").agg(
         F.max(F.when(F.col("_r") == F.col("_lo"), F.col(value))).alias("_vlo"),
-        F.max(F.when(F.col("_r") == F.col("_hi"), F.col(value))).alias("_vhi"),
+        F.max(F.col(value)).alias("_vmax"),
     )
     frac = F.col("_pos") - (F.col("_lo") - 1)
-    return agg.select(*by, (F.col("_vlo") * (F.lit(1.0) - frac) + F.col("_vhi") * frac).alias(out))
+    vhi = F.coalesce(F.col("_vmax"), F.col("_vlo"))
+    return agg.select(*by, (F.col("_vlo") * (F.lit(1.0) - frac) + vhi * frac).alias(out))

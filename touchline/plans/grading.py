@@ -163,7 +163,8 @@ def recommend_covs(samples: DataFrame, *, z: float = rules.BAND_Z, covs: dict |
         F.count(F.lit(1)).alias("n"),
         F.avg((F.col("r") <= F.lit(z) * cur).cast("double")).alias("current_coverage"),
     )
-    q = exact_quantile(samples, "r", target, ["position"], "q")
+    ties = [c for c in ("season", "player_id") if c in samples.columns]
+    q = exact_quantile(samples, "r", target, ["position"], "q", tie_breaker=ties)
     rec = (F.col("q") / F.lit(z)) if z else F.lit(0.0)
     return base.join(q, "position", "left").select(
         "position", "n", cur.alias("current_cov"), "current_coverage",
