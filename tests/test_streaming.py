@@ -28,3 +28,16 @@ def test_windowed_counts_batch(spark):
     out = windowed_counts(ev, "ts", "key", {"rz": F.col("yardline") <= 20})
     got = sorted((r.window_start.day, r.n, r.rz) for r in out.collect())
     assert got == [(1, 2, 1), (2, 1, 1)]
+
+
+def test_upsert_stream_partitioned(spark, tmp_path):
+    from pyspark.sql.types import StructType
+    landing = str(tmp_path / "landing")
+    schema = "season int, week int, player string, yards double"
+    spark.createDataFrame([(2025, 1, "a", 10.0), (2025, 2, "b", 5.0)], schema).write.parquet(landing + "/f1")
+    spark.createDataFrame([(2025, 1, "a", 12.0), (2025, 3, "c", 1.0)], schema).write.parquet(landing + "/f2")
+    q = upsert_stream(spark, landing + "/*", StructType.fromDDL(schema), str(tmp_path / "t"),
+                      ["season", "week", "player"], name=f"p{tmp_path.name}", partition_cols=["season", "week"])
+    q.awaitTermination(120)
+    got = sorted((r.week, r.player, r.yards) for r in spark.read.parquet(str(tmp_path / "t")).collect())
+    assert got == [(1, "a", 12.0), (2, "b", 5.0), (3, "c", 1.0)]

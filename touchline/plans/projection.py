@@ -307,12 +307,13 @@ def snapshot_rows(lines: DataFrame, settings: DataFrame, snapshot_date: str,
     )
 
 
-def write_snapshot(spark, rows: DataFrame, table_root: str) -> int:
-    """SNK-5: insert-or-replace snapshot rows on the 6-column key into a versioned
-    table partitioned by snapshot date.  Re-running a date replaces its rows; rows
-    of that date missing from the re-run survive, as in the reference."""
-    from touchline.operators.upsert import VersionedTable
+def write_snapshot(spark, rows: DataFrame, table_path: str) -> int:
+    """SNK-5: insert-or-replace snapshot rows on the 6-column key into a table
+    partitioned by snapshot date; only the dates present in ``rows`` are
+    rewritten.  Re-running a date replaces its rows; rows of that date missing
+    from the re-run survive, as in the reference."""
+    from touchline.operators.upsert import upsert_partitions
     from touchline.sources.contracts import FCT_PROJECTIONS, PROJECTION_KEY
     from touchline.sources.sinks import conform
-    table = VersionedTable(spark, table_root, partition_by=["snapshot_date"])
-    return table.upsert(conform(rows, FCT_PROJECTIONS), list(PROJECTION_KEY))
+    return upsert_partitions(spark, table_path, conform(rows, FCT_PROJECTIONS), list(PROJECTION_KEY),
+                             ["snapshot_date"])

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.operators.upsert import VersionedTable
+from touchline.operators.keys import keep_first
+from touchline.operators.upsert import VersionedTable, upsert_partitions
 from touchline.session import ensure_checkpoint_dir
 
 
@@ -25,17 +26,29 @@ def _checkpoint(spark: SparkSession, name: str) -> str:
 
 
 def upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, table_root: str,
-                  keys: Sequence[str], name: str = "upsert", max_files: int = 100):
-    """Start a stream that upserts every micro-batch of landed files into a VersionedTable."""
+                  keys: Sequence[str], name: str = "upsert", max_files: int = 100,
+                  partition_cols: Sequence[str] | None = None):
+    """Start a stream that upserts every micro-batch of landed files.
+
+    With ``partition_cols`` (part of the key, e.g. season/week) each batch
+    rewrites only the partitions it touches; otherwise a new version of a
+    VersionedTable is written per batch.
+    """
     table = VersionedTable(spark, table_root)
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing))
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
+           .select("*", F.col("_metadata.file_modification_time").alias("_landed_at"),
+                   F.col("_metadata.file_path").alias("_landed_file")))
 
     def merge(batch: DataFrame, _epoch: int) -> None:
         if batch.isEmpty():
             return
-        # one row per key inside a micro-batch
-        dedup = batch.dropDuplicates(list(keys))
-        table.upsert(dedup, keys)
+        # one row per key inside a micro-batch: the most recently landed file wins
+        dedup = keep_first(batch, list(keys), [F.col("_landed_at").desc(), F.col("_landed_file").desc()]) \
+            .drop("_landed_at", "_landed_file")
+        if partition_cols:
+            upsert_partitions(spark, table_root, dedup, keys, partition_cols)
+        else:
+            table.upsert(dedup, keys)
 
     return (src.writeStream.foreachBatch(merge)
             .option("checkpointLocation", _checkpoint(spark, name)).trigger(availableNow=True).start())
