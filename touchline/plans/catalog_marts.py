@@ -284,3 +284,16 @@ def q_fact(spark: SparkSession, sf: str) -> DataFrame:
     f = marts.fct_player_game_stats(feeds.weekly_stats(spark, sf), i["xwalk"], teams, games,
                                     snaps=snaps, redzone=rz, aliases=feeds.ALIASES, ingested_at=INGESTED_AT)
     return f.drop("ingested_at")
+
+
+@register("crosswalk_rejects", _with(BASE, IDENT, SQL_SNAPS) + """
+SELECT s.season, count(*) AS unresolved_rows, count(DISTINCT s.pfr_player_id) AS unresolved_ids
+FROM snaps_feed s WHERE s.pfr_player_id NOT IN (SELECT source_id FROM xwalk WHERE source = 'pfr')
+GROUP BY s.season""")
+def q_crosswalk_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """JOI-1 rejects: feed rows whose source id has no crosswalk entry, per season."""
+    from touchline.operators.joins import resolve_ids
+    _, rejects = resolve_ids(snaps_feed(spark, sf), _identity(spark, sf)["xwalk"], "pfr", "pfr_player_id",
+                             with_rejects=True)
+    return rejects.groupBy("season").agg(F.count(F.lit(1)).alias("unresolved_rows"),
+                                         F.countDistinct("pfr_player_id").alias("unresolved_ids"))

@@ -182,3 +182,22 @@ def q_insert_only(spark: SparkSession, sf: str) -> DataFrame:
     """SNK-4 + JOI-8: additive insert; existing rows are never touched."""
     target, updates = _order_slices(spark, sf)
     return merge_insert_only(target, updates, ["o_orderkey"])
+
+
+@register("skew_safe_join", """
+WITH per_type AS (SELECT event_type, avg(value) AS type_avg, count(*) AS type_n FROM events GROUP BY event_type)
+SELECT e.event_id, e.event_type, round(e.value - p.type_avg, 6) AS vs_type_avg, p.type_n
+FROM events e JOIN per_type p ON p.event_type = e.event_type""")
+def q_skew_safe_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Salted join on hot keys: every event against its category's aggregate.
+
+    A handful of categories own all rows, so a plain shuffle join would send
+    each category to one task; the aggregate side (one row per key) is
+    replicated over 16 salts and each event picks a salt from its own hash.
+    """
+    from touchline.operators.joins import salted_join
+    e = _events(spark, sf).select("event_id", "event_type", "value")
+    per_type = e.groupBy("event_type").agg(F.avg("value").alias("type_avg"), F.count(F.lit(1)).alias("type_n"))
+    j = salted_join(e, per_type, ["event_type"], 16, salt_source=F.xxhash64("event_id"))
+    return j.select("event_id", "event_type", F.round(F.col("value") - F.col("type_avg"), 6).alias("vs_type_avg"),
+                    "type_n")

@@ -112,7 +112,7 @@ class DatasetSpec:
 
 
 WEEKLY = ("season", "week")
-# Landed datasets: name, source, format, per-season flag, layout, natural key.
+# FIXED VALUES — landed datasets: name, source, format, per-season flag, layout, natural key.
 REGISTRY: dict[str, DatasetSpec] = {
     s.name if s.source != "ngs" else f"ngs_{s.name}": s for s in (
         DatasetSpec("player_stats", "nflverse", "parquet", True, WEEKLY, ("player_id", "season", "week")),
