@@ -107,6 +107,18 @@ def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def player_games_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``player_games`` materialised once in the shared checkpoint folder.
+
+    The fact is a persisted mart in the reference; plans that read it several
+    times (totals, latest season, actuals) read the materialised copy instead of
+    re-aggregating lineitem for each use (column pruning makes the uses differ,
+    so Spark could not share one exchange between them).
+    """
+    from touchline.session import cut_lineage
+    return cut_lineage(player_games(spark, sf_dir))
+
+
 def player_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Player dimension: id, display name, roster position (from the segment), home nation."""
     c = table(spark, sf_dir, "customer")

@@ -76,7 +76,7 @@ LIMIT 10"""
 @register("top_entities_latest_season", _TOP_SQL)
 def top_entities_latest_season(spark: SparkSession, sf: str) -> DataFrame:
     """AGG-17 + JOI-10 + TOP-1 + DOM-1: the latest season's top 10 by ppr points."""
-    pg = binding.player_games(spark, sf)
+    pg = binding.player_games_table(spark, sf)
     latest = _latest_season(pg)
     season = pg.crossJoin(F.broadcast(latest)).filter(F.col("season") == F.col("latest_season"))
     agg = season.groupBy("player_id").agg(
@@ -137,7 +137,7 @@ def q_project_entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _next_season_lines(spark: SparkSession, sf: str) -> DataFrame:
-    pg = binding.player_games(spark, sf)
+    pg = binding.player_games_table(spark, sf)
     target = _latest_season(pg).select((F.col("latest_season") + 1).alias("target"))
     return project_lines(season_totals(pg), targets=target)
 
@@ -258,7 +258,7 @@ _BACKTEST_TARGET = "SELECT max(season) - 1 FROM player_games"
 
 def _evals(spark: SparkSession, sf: str, fmt: str = "ppr", min_games: int = 1) -> DataFrame:
     """Backtest input: the snapshot for the last complete season vs what happened."""
-    pg = binding.player_games(spark, sf)
+    pg = binding.player_games_table(spark, sf)
     target = _latest_season(pg).select((F.col("latest_season") - 1).alias("target"))
     settings = rules.scoring_settings(spark, [fmt])
     snap = snapshot_rows(project_lines(season_totals(pg), targets=target), settings, SNAPSHOT_DATE)
@@ -340,7 +340,7 @@ _CAL_CTES = [
 
 
 def _recs(spark: SparkSession, sf: str) -> DataFrame:
-    pg = binding.player_games(spark, sf)
+    pg = binding.player_games_table(spark, sf)
     seasons = grading.projectable_seasons(pg)
     samples = grading.calibration_samples(pg, rules.scoring_settings(spark, ["ppr"]), seasons, min_games=0)
     return grading.recommend_covs(cut_lineage(samples))
@@ -378,7 +378,7 @@ _NEXT_TARGET = "SELECT max(season) + 1 FROM player_games"
 
 def _board_players(spark: SparkSession, sf: str) -> DataFrame:
     """JOI-12 + FLT-3: next-season ppr projections joined to the dimension's position."""
-    pg = binding.player_games(spark, sf)
+    pg = binding.player_games_table(spark, sf)
     target = _latest_season(pg).select((F.col("latest_season") + 1).alias("target"))
     snap = snapshot_rows(project_lines(season_totals(pg), targets=target),
                          rules.scoring_settings(spark, [_LEAGUE["scoring_format"]]), SNAPSHOT_DATE)
@@ -533,7 +533,7 @@ def q_projection_summary(spark: SparkSession, sf: str) -> DataFrame:
 SELECT season, count(*) AS samples FROM samples GROUP BY season""")
 def q_samples_per_season(spark: SparkSession, sf: str) -> DataFrame:
     """AGG-18: calibration samples collected per swept season."""
-    pg = binding.player_games(spark, sf)
+    pg = binding.player_games_table(spark, sf)
     s = grading.calibration_samples(pg, rules.scoring_settings(spark, ["ppr"]), grading.projectable_seasons(pg))
     return s.groupBy("season").agg(F.count(F.lit(1)).alias("samples"))
 
