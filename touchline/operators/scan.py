@@ -124,4 +124,3 @@ def exact_quantile(df: DataFrame, value: str, q: float, by: Sequence[str] = (),
     frac = F.col("_pos") - (F.col("_lo") - 1)
     vhi = F.coalesce(F.col("_vmax"), F.col("_vlo"))
     return agg.select(*by, (F.col("_vlo") * (F.lit(1.0) - frac) + vhi * frac).alias(out))
-

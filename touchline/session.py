@@ -20,6 +20,8 @@ _DEFAULT_CONF = {
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # drop reliable-checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
