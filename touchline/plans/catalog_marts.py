@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,19 +28,49 @@ SCHED = feeds.SQL_SCHEDULE.strip()
 # Identity
 # ---------------------------------------------------------------------------
 
-def _identity(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The identity tables, each materialised once (they are registries in the reference)."""
-    staged = cut_lineage(identity.stage_hub(feeds.raw_hub(spark, sf)))
-    first = staged.join(F.broadcast(staged.agg(F.min("snapshot_date").alias("snapshot_date"))),
-                        "snapshot_date", "left_semi")
-    latest = identity.latest_snapshot_rows(staged)
-    keys0 = identity.hub_keys(first)
-    keys1 = identity.hub_keys(latest, existing=keys0)
-    keys1 = cut_lineage(keys1)
-    master = cut_lineage(identity.stage_master(feeds.raw_master(spark, sf)))
-    mkeys = cut_lineage(identity.master_keys(master, keys1, latest))
-    xw = cut_lineage(identity.crosswalk(keys1, latest, mkeys, master))
-    return {"latest": latest, "keys0": keys0, "keys1": keys1, "master": master, "mkeys": mkeys, "xwalk": xw}
+class _Identity:
+    """The identity tables, each built on first use and materialised once
+    (they are registries in the reference); a query pays only for what it reads."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
+
+    @cached_property
+    def staged(self) -> DataFrame:
+        return cut_lineage(identity.stage_hub(feeds.raw_hub(self.spark, self.sf)))
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        return identity.latest_snapshot_rows(self.staged)
+
+    @cached_property
+    def keys0(self) -> DataFrame:
+        s = self.staged
+        first = s.join(F.broadcast(s.agg(F.min("snapshot_date").alias("snapshot_date"))), "snapshot_date", "left_semi")
+        return identity.hub_keys(first)
+
+    @cached_property
+    def keys1(self) -> DataFrame:
+        return cut_lineage(identity.hub_keys(self.latest, existing=self.keys0))
+
+    @cached_property
+    def master(self) -> DataFrame:
+        return cut_lineage(identity.stage_master(feeds.raw_master(self.spark, self.sf)))
+
+    @cached_property
+    def mkeys(self) -> DataFrame:
+        return cut_lineage(identity.master_keys(self.master, self.keys1, self.latest))
+
+    @cached_property
+    def xwalk(self) -> DataFrame:
+        return cut_lineage(identity.crosswalk(self.keys1, self.latest, self.mkeys, self.master))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+
+def _identity(spark: SparkSession, sf: str) -> _Identity:
+    return _Identity(spark, sf)
 
 
 @register("hub_latest_snapshot", _with(IDENT) + """
