@@ -1,4 +1,4 @@
-"""Accuracy and correlation aggregates (AGG-10..AGG-16).
+"""Accuracy and correlation aggregates (AGG-10..AGG-15; exact quantiles live in operators/scan).
 
 All are built-in aggregate expressions, so they run as partial (map-side) plus
 final aggregation; nothing per-row leaves the JVM.
@@ -38,8 +38,3 @@ def coverage(resid, cov, z: float) -> Column:
     """AGG-15: share of residuals inside z * cov."""
     return F.avg((_c(resid) <= F.lit(z) * _c(cov)).cast("double"))
 
-
-def median_positive(col) -> Column:
-    """AGG-16: median of the positive values only (exact)."""
-    c = _c(col)
-    return F.median(F.when(c > 0, c))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.scalars import position_order
 from touchline.operators.scan import average_rank, exact_quantile
-from touchline.operators.stats import error_metrics, safe_pearson
+from touchline.operators.stats import coverage, error_metrics, safe_pearson
 from touchline.plans.projection import (
     ACTUAL_FIELDS, ACTUAL_SCORE_INPUTS, LINE_SCORE_INPUTS, project_lines, score_expr, season_totals,
 )
@@ -161,7 +161,7 @@ def recommend_covs(samples: DataFrame, *, z: float = rules.BAND_Z, covs: dict |
     cur = _cov_lookup(F.col("position"), covs, default_cov)
     base = samples.groupBy("position").agg(
         F.count(F.lit(1)).alias("n"),
-        F.avg((F.col("r") <= F.lit(z) * cur).cast("double")).alias("current_coverage"),
+        coverage("r", cur, z).alias("current_coverage"),
     )
     ties = [c for c in ("season", "player_id") if c in samples.columns]
     q = exact_quantile(samples, "r", target, ["position"], "q", tie_breaker=ties)
