@@ -36,11 +36,13 @@ def resolve_ids(facts: DataFrame, crosswalk: DataFrame, source: str, fact_key: s
     return resolved, rejects
 
 
-def anti_by_lower(df: DataFrame, names: DataFrame, df_col: str, name_col: str = "name") -> DataFrame:
-    """JOI-15: drop rows whose lower-cased ``df_col`` is in ``names`` (broadcast
-    the exclusion list: it is a hand-typed list, bounded by its file)."""
-    ex = names.select(F.lower(F.trim(F.col(name_col))).alias("_ex")).distinct()
-    return df.join(F.broadcast(ex), F.lower(F.col(df_col)) == F.col("_ex"), "left_anti")
+def anti_by_lower(df: DataFrame, names: DataFrame, df_col: str, name_col: str = "name",
+                  max_broadcast: int = 100_000) -> DataFrame:
+    """JOI-15: drop rows whose lower-cased ``df_col`` is in ``names``; the list is
+    broadcast only after its size is checked, else it is a shuffled anti join."""
+    ex, _ = bounded_broadcast(names.select(F.lower(F.trim(F.col(name_col))).alias("_ex")).distinct(),
+                              max_broadcast)
+    return df.join(ex, F.lower(F.col(df_col)) == F.col("_ex"), "left_anti")
 
 
 def salted_join(big: DataFrame, small_unique: DataFrame, keys: Sequence[str], salts: int,
