@@ -329,3 +329,71 @@ def q_crosswalk_rejects(spark: SparkSession, sf: str) -> DataFrame:
                              with_rejects=True)
     return rejects.groupBy("season").agg(F.count(F.lit(1)).alias("unresolved_rows"),
                                          F.countDistinct("pfr_player_id").alias("unresolved_ids"))
+
+
+def pbp_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Play-by-play-shaped rows: each line is a play of its customer's nation against
+    the nation it is paired with that week (bye weeks have no game, so no play)."""
+    li = binding.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    o = binding.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = binding.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    j = j.select("*", binding.season_of("l_shipdate").alias("season"), binding.week_of("l_shipdate").alias("week"))
+    opp = F.pmod(F.col("week") - F.col("c_nationkey"), F.lit(feeds.N_TEAMS))
+    j = j.withColumn("opp", opp).filter(F.col("opp") != F.col("c_nationkey"))
+    home = F.least("c_nationkey", "opp")
+    rf = F.col("l_returnflag")
+    return j.select(
+        F.format_string("%d_%02d_%02d", "season", "week", home).alias("game_id"),
+        F.col("l_orderkey").alias("play_id"), "season", "week",
+        feeds.code(F.col("c_nationkey")).alias("posteam"), feeds.code(F.col("opp"), legacy=True).alias("defteam"),
+        feeds.code(home).alias("home_team"),
+        F.col("l_quantity").alias("yards_gained"),
+        (F.col("l_linenumber") * 7).cast("double").alias("posteam_score"),
+        (rf == "A").cast("double").alias("pass_attempt"), (rf == "R").cast("double").alias("rush_attempt"))
+
+
+SQL_PBP = f"""pbp AS (
+  SELECT printf('%d_%02d_%02d', season, week, least(nat, opp)) AS game_id, season, week,
+    'N' || lpad(CAST(nat AS VARCHAR), 2, '0') AS team,
+    coalesce((SELECT new FROM canon WHERE old = (CASE WHEN opp < {feeds.LEGACY_BELOW} THEN 'X' ELSE 'N' END
+      || lpad(CAST(opp AS VARCHAR), 2, '0'))), CASE WHEN opp < {feeds.LEGACY_BELOW} THEN 'X' ELSE 'N' END
+      || lpad(CAST(opp AS VARCHAR), 2, '0')) AS opp_code,
+    'N' || lpad(CAST(least(nat, opp) AS VARCHAR), 2, '0') AS home_team,
+    CAST(l_quantity AS INTEGER) AS yards, l_linenumber * 7 AS score,
+    l_returnflag = 'A' AS is_pass, l_returnflag = 'R' AS is_rush
+  FROM (
+    SELECT l.*, c.c_nationkey AS nat, CAST(year(l.l_shipdate) AS INTEGER) AS season,
+      {binding.SQL_WEEK.format(c='l.l_shipdate')} AS week,
+      ((({binding.SQL_WEEK.format(c='l.l_shipdate')} - c.c_nationkey) % {feeds.N_TEAMS}) + {feeds.N_TEAMS}) % {feeds.N_TEAMS} AS opp
+    FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
+  ) x WHERE opp <> nat
+),
+off AS (
+  SELECT game_id, season, week, team, opp_code AS opp, CAST(count(*) AS INTEGER) AS plays,
+    CAST(sum(coalesce(yards, 0)) AS INTEGER) AS total_yards,
+    CAST(sum(CASE WHEN is_pass THEN coalesce(yards, 0) END) AS INTEGER) AS pass_yards,
+    CAST(sum(CASE WHEN is_rush THEN coalesce(yards, 0) END) AS INTEGER) AS rush_yards,
+    CAST(max(score) AS INTEGER) AS points, bool_or(home_team = team) AS is_home
+  FROM pbp GROUP BY game_id, season, week, team, opp_code
+)"""
+
+
+@register("team_game_stats", _with(SCHED, SQL_PBP) + """
+SELECT t.team_id, f.game_id, CAST(f.season AS INTEGER) AS season, CAST(f.week AS INTEGER) AS week,
+  o.team_id AS opponent_id, f.is_home, f.points, f.total_yards, f.pass_yards, f.rush_yards, f.plays,
+  a.points AS points_allowed, a.total_yards AS yards_allowed, a.pass_yards AS pass_yards_allowed,
+  a.rush_yards AS rush_yards_allowed
+FROM off f
+LEFT JOIN off a ON a.game_id = f.game_id AND a.team = f.opp
+LEFT JOIN dim_teams t ON t.season = f.season AND t.abbr = f.team
+LEFT JOIN dim_teams o ON o.season = f.season AND o.abbr = f.opp""")
+def q_team_game_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Extension (declared, never built by the reference): per (team, game) offence from the
+    play slice (PRJ-1) with what the opponent gained against it (self-join)."""
+    teams = _teams_games(spark, sf)[1]
+    tg = marts.fct_team_game_stats(marts.fct_pbp(pbp_feed(spark, sf)), teams, feeds.ALIASES)
+    return tg.select("team_id", "game_id", "season", "week", "opponent_id", "is_home", "points", "total_yards",
+                     "pass_yards", "rush_yards", "plays", "points_allowed", "yards_allowed",
+                     "pass_yards_allowed", "rush_yards_allowed")
