@@ -20,7 +20,8 @@ def test_registry_shape():
     assert len(q) >= 35 and set(o) <= set(q)
 
 
-@pytest.mark.parametrize("name", ["season_totals", "score_formats", "dim_games", "primary_category", "starter_counts"])
+@pytest.mark.parametrize("name", ["season_totals", "score_formats", "dim_games", "primary_category", "starter_counts",
+                                  "vegas_lines", "canonical_codes", "skew_safe_join", "team_game_stats"])
 def test_oracle_agrees_small(spark, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -30,6 +31,8 @@ def test_oracle_agrees_small(spark, name):
     ocols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(ocols)
     key = sorted(ocols)
-    srows = sorted(tuple(r[c] for c in key) for r in sdf.collect())
-    orows = sorted(tuple(row[ocols.index(c)] for c in key) for row in res.fetchall())
+    def nsort(rows):  # NULL-safe ordering for rows that mix None with values
+        return sorted(rows, key=lambda t: tuple((v is None, str(v)) for v in t))
+    srows = nsort(tuple(r[c] for c in key) for r in sdf.collect())
+    orows = nsort(tuple(row[ocols.index(c)] for c in key) for row in res.fetchall())
     assert srows == orows

@@ -79,3 +79,11 @@ def test_csv_scan(spark, tmp_path):
     p.write_text("id,score\n1,2.5\n2,\n3,abc\n")
     got = [tuple(r) for r in read_csv(spark, str(p), T.StructType.fromDDL("id int, score double")).orderBy("id").collect()]
     assert got == [(1, 2.5), (2, None), (3, None)]
+
+
+def test_partition_upsert_requires_partition_in_key(spark, tmp_path):
+    import pytest
+    from touchline.operators.upsert import upsert_partitions
+    df = spark.createDataFrame([(1, "2026-09-01", 1.0)], "k int, d string, v double")
+    with pytest.raises(ValueError):
+        upsert_partitions(spark, str(tmp_path / "t"), df, ["k"], ["d"])
