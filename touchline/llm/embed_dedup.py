@@ -34,7 +34,7 @@ log = logging.getLogger(__name__)
 #: Classes per pivot; rows of a shard at most; pivots broadcast at most (all labels).
 PIVOT_ROWS, SHARD_ROWS, MOST_PIVOTS = 256, 2048, 16_384
 DEGREE, CANDIDATES, BEAM, ALPHA = 16, 48, 16, 1.2
-MARGIN = 0.12
+MARGIN = 0.16
 #: Range expansion goes on through neighbours this far below the threshold.
 SLACK = 0.06
 AUDIT_CLASSES, RECALL = 200, 0.995
@@ -156,6 +156,19 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE, candidates: int = CANDIDAT
     return out
 
 
+def with_reverse(near: list[list[int]], most: int = DEGREE) -> list[list[int]]:
+    """Adjacency lists plus up to ``most`` reverse edges a node, those to the least reachable nodes first."""
+    into = np.bincount(np.array([j for own in near for j in own], dtype=np.int64), minlength=len(near))
+    out, room = [list(own) for own in near], [most] * len(near)
+    held = [set(own) for own in near]
+    for i in np.argsort(into, kind="stable").tolist():
+        for j in near[i]:
+            if room[j] and i not in held[j]:
+                out[j].append(i)
+                room[j] -= 1
+    return out
+
+
 def range_search(x: np.ndarray, graph: np.ndarray, floor: float, beam: int = BEAM) -> np.ndarray:
     """Boolean (n, n): rows that the search for each row reaches with cosine >= ``floor``.
 
@@ -164,45 +177,51 @@ def range_search(x: np.ndarray, graph: np.ndarray, floor: float, beam: int = BEA
     place included) until none is left.
     """
     n = len(x)
+    y = x.astype(np.float32)  # candidates only; links are verified in double precision
     reached = np.zeros((n, n), dtype=bool)
-    medoid = int((x @ x.mean(axis=0)).argmax())
+    medoid = int((y @ y.mean(axis=0)).argmax())
     for lo in range(0, n, 256):
         queries = np.arange(lo, min(n, lo + 256))
         m = len(queries)
         seen = np.full((m, n), -np.inf, dtype=np.float32)
         done = np.zeros((m, n), dtype=bool)
 
-        def visit(q: np.ndarray, nodes: np.ndarray) -> None:
-            """Expand the given (query, node) pairs: cosines of their unseen neighbours."""
+        def expand(q: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Neighbours of each node, and their cosines with the query (-inf for those already seen)."""
             done[q, nodes] = True
-            nb = graph[nodes]
-            qq, nb = np.repeat(q, nb.shape[1]), nb.ravel()
-            new = nb >= 0
-            qq, nb = qq[new], nb[new]
-            fresh = np.isneginf(seen[qq, nb])
-            qq, nb = qq[fresh], nb[fresh]
-            for at in range(0, len(qq), 1 << 16):
-                a, b = qq[at:at + (1 << 16)], nb[at:at + (1 << 16)]
-                seen[a, b] = np.einsum("kd,kd->k", x[queries[a]], x[b])
+            near = graph[nodes]
+            fresh = (near >= 0) & np.isneginf(seen[q[:, None], near])
+            cosine = np.full(near.shape, -np.inf, dtype=np.float32)
+            rows, at = np.nonzero(fresh)
+            for k in range(0, len(rows), 1 << 15):
+                r, c = rows[k:k + (1 << 15)], at[k:k + (1 << 15)]
+                cosine[r, c] = np.einsum("kd,kd->k", y[queries[q[r]]], y[near[r, c]])
+            seen[q[rows], near[rows, at]] = cosine[rows, at]
+            return near, cosine
 
         every = np.arange(m)
-        seen[:, medoid] = x[queries] @ x[medoid]
+        ids = np.full((m, beam), medoid)
+        best = np.full((m, beam), -np.inf, dtype=np.float32)
+        best[:, 0] = seen[:, medoid] = y[queries] @ y[medoid]
         active = every
         while len(active):
-            open_ = np.where(done[active], -np.inf, seen[active])
-            best = open_.argmax(axis=1)
-            value = open_[np.arange(len(active)), best]
-            better = (seen[active] > value[:, None]).sum(axis=1)
-            going = np.isfinite(value) & (better < beam)
-            active, best = active[going], best[going]
-            if len(active):
-                visit(active, best)
+            left = np.where(done[active[:, None], ids[active]], -np.inf, best[active])
+            pick = left.argmax(axis=1)
+            going = np.isfinite(left[np.arange(len(active)), pick])
+            active, pick = active[going], pick[going]
+            if not len(active):
+                break
+            near, cosine = expand(active, ids[active, pick])
+            both, value = np.hstack([ids[active], near]), np.hstack([best[active], cosine])
+            top = np.argpartition(-value, beam - 1, axis=1)[:, :beam]
+            ids[active], best[active] = np.take_along_axis(both, top, 1), np.take_along_axis(value, top, 1)
         seen[every, queries] = 1.0
         while True:
             q, nodes = np.nonzero((seen >= floor) & ~done)
             if not len(q):
                 break
-            visit(q, nodes)
+            for k in range(0, len(q), 1 << 14):
+                expand(q[k:k + (1 << 14)], nodes[k:k + (1 << 14)])
         reached[lo:lo + m] = seen >= floor
     return reached
 
@@ -270,7 +289,7 @@ def shard_links(dealt: DataFrame, threshold: float) -> DataFrame:
         ids = rows["class"].to_numpy()
         x = unit_rows(rows["vec"].to_pylist())
         place = {int(c): i for i, c in enumerate(ids)}
-        near = [[place[c] for c in own or () if c in place] for own in rows["near"].to_pylist()]
+        near = with_reverse([[place[c] for c in own or () if c in place] for own in rows["near"].to_pylist()])
         graph = np.full((len(ids), max(1, max(map(len, near)))), -1, dtype=np.int64)
         for i, own in enumerate(near):
             graph[i, :len(own)] = own
