@@ -1,0 +1,349 @@
+"""Each method against a brute-force version, an exact round trip, or held-out labels."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from touchline.llm import bpe, embed_dedup, langid, line_dedup, packing, pii, queries, quality, simhash, toxicity, url_filter
+from touchline.llm.components import connected_components
+
+SF = "/root/testdata/sf0.001"
+
+
+def groups(pairs, nodes):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def test_components_of_random_links(spark):
+    rnd = random.Random(1)
+    links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)] + [(500, i) for i in range(501, 560)]
+    got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    links = [(a, b) for a, b in links if a != b]
+    assert got == groups(links, {n for link in links for n in link})
+
+
+# --- SimHash ---------------------------------------------------------------------------------------------
+
+def test_masks_cover_every_pair():
+    for radius in (1, 2):
+        masks = simhash.covering_masks(radius)
+        assert len(masks) == 2 ** (radius + 1) - 1
+        for i in range(64):
+            for j in range(64):
+                flipped = (1 << i) | (1 << j if radius == 2 else 0)
+                assert any(m & flipped == 0 for m in masks)
+
+
+@pytest.mark.parametrize("bucket_pairs", [1, 48])
+def test_fingerprint_links_keep_all_components(spark, bucket_pairs):
+    rnd = random.Random(2)
+    fps = {rnd.getrandbits(64) for _ in range(60)}
+    for f in list(fps)[:25]:
+        for _ in range(8):
+            fps.add(f ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)))
+    fps = [f - (1 << 64) if f >> 63 else f for f in fps]
+    links = simhash.fingerprint_links(spark.createDataFrame([(f,) for f in fps], "fp long"), 2, bucket_pairs).collect()
+    near = [(a, b) for i, a in enumerate(fps) for b in fps[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2]
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 2 for a, b in links)
+    assert groups(links, fps) == groups(near, fps)
+
+
+def test_fingerprint_by_hand():
+    import xxhash
+
+    text = "The CAT sat\ton  the mat the cat sat on"
+    words = text.lower().split()
+    hashes = [xxhash.xxh64(" ".join(words[i:i + 3]).encode(), seed=42).intdigest() for i in range(len(words) - 2)]
+    expected = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert int(simhash.fingerprints([text, ""], 3, 42)[0]) == expected
+    assert simhash.shingle_hashes("Two words", 3, 42) == [xxhash.xxh64(b"two words", seed=42).intdigest()]
+
+
+def test_one_of_each_group_stays(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, base, "a"), (3, base.upper(), "a"), (9, base, "b"), (9, base, "b"), (1, "something else entirely here", "a"), (None, base, "a"), (None, "own text", "c"),
+            (3, base.upper(), "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [(r["doc_id"], r["text"]) for r in simhash.keep_one_per_group(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(3, base.upper()), (1, "something else entirely here"), (None, "own text")], key=str)
+
+
+# --- PII ---------------------------------------------------------------------------------------------------
+
+def plain_spans(text):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m.group() if c.isdigit()]
+        total = sum(d if i % 2 == 0 else (2 * d if d < 5 else 2 * d - 9) for i, d in enumerate(reversed(digits)))
+        if 14 <= len(digits) <= 19 and total % 10 == 0:
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= sum(c.isdigit() for c in m.group()) <= 15]
+    return sorted(out, key=lambda s: (s[1], pii.KINDS.index(s[0])))
+
+
+def test_base_spans_like_the_patterns():
+    rnd = random.Random(3)
+    bits = ["a", "b", "_", "@", ".", ".", "1", "2", "25", "255", "256", "7", "+", "-", " ", "(", ")", "%", "4111111111111111", "\u00e9", "x.co", "@a.b",
+            "+1 234 567 8901", "1.2.3.4", "\n"]
+    for _ in range(8000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 18)))
+        assert [s[:3] for s in pii.find_spans(text) if s[0] in pii.BASE_KINDS] == plain_spans(text)
+
+
+def test_checksums_and_context():
+    iban = "pay to IBAN DE89 3704 0044 0532 0130 00 NOW"
+    assert [(s[0], iban[s[1]:s[2]]) for s in pii.find_spans(iban)] == [("iban", "DE89 3704 0044 0532 0130 00")]
+    assert not pii.find_spans("IBAN DE88 3704 0044 0532 0130 00")
+    assert [s[0] for s in pii.find_spans("social security 123-45-6789")] == ["ssn"] and not pii.find_spans("part 123-45-6789")
+    assert [s[0] for s in pii.find_spans("call (212) 555-0199 today")] == ["localphone"] and not pii.find_spans("order (212) 555-0199")
+    card = pii.find_spans("visa 4111 1111 1111 1111")[0]
+    assert card[3] > pii.find_spans("serial 4111 1111 1111 1111")[0][3]
+    assert pii.redact("a b@c.de f", pii.find_spans("a b@c.de f")) == "a [EMAIL] f"
+
+
+def test_long_runs_take_linear_time():
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 150_000, "+1" * 150_000, "1 " * 150_000, "@" * 300_000):
+        pii.find_spans(text)
+
+
+# --- byte-level BPE ------------------------------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def coder():
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(queries.vocabulary(queries.RANKS))
+    return bpe.ByteBpe(ranks, public_tokenizers.PATTERN), ranks, public_tokenizers.PATTERN
+
+
+def test_ids_and_round_trip(coder):
+    import tiktoken
+
+    own, ranks, pattern = coder
+    theirs = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(5)
+    bits = [" ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "a", "Word", "\u00e9", "1", "\u0663", "\u2167", "!", "\U0001f600", "\u6f22", "'s", "'", "_", "\u0301",
+            "\x00", "don't", "\u00aa", "\u00d7", "\u0416", "x,y"]
+    texts = ["", "a" * 50_000, " " * 9000 + "x"] + ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 14))) for _ in range(4000)]
+    for text, (ids, n, decoded) in zip(texts, own.encode_texts(texts)):
+        expected = theirs.encode_ordinary(text)
+        assert ids == " ".join(map(str, expected)) and n == len(expected) and decoded == text.encode()
+
+
+def test_other_patterns_and_small_memory(coder, monkeypatch):
+    _, ranks, _ = coder
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(bpe, "_TOGETHER", 10)
+    own = bpe.ByteBpe(ranks, r"\S+|\s+")
+    texts = ["one two", "three four one", "two  two\n", "one"] * 3
+    assert [d.decode() for _, _, d in own.encode_texts(texts)] == texts
+
+
+# --- packing -------------------------------------------------------------------------------------------------
+
+def plain_best_fit(lengths, sources, clusters, capacity):
+    bins, placed = [], []
+    for length, s, c in zip(lengths, sources, clusters):
+        fit = [(b[0], i) for i, b in enumerate(bins) if b[0] >= length and (s is None or s not in b[1]) and (c is None or c not in b[2])]
+        if not fit:
+            bins.append([capacity, set(), set()])
+            fit = [(capacity, len(bins) - 1)]
+        _, i = min(fit)
+        bins[i][0] -= length
+        bins[i][1].add(s)
+        bins[i][2].add(c)
+        placed.append(i)
+    return placed
+
+
+def test_best_fit_like_the_plain_one():
+    rnd = random.Random(6)
+    for _ in range(60):
+        n = rnd.randint(1, 120)
+        lengths = sorted((rnd.randint(1, 100) for _ in range(n)), reverse=True)
+        sources = [rnd.choice([None, "hot", "hot", "a", "b", "c", "d"]) for _ in range(n)]
+        clusters = [rnd.choice([None, *range(30)]) for _ in range(n)]
+        assert packing.best_fit(lengths, sources, clusters, 100) == plain_best_fit(lengths, sources, clusters, 100)
+
+
+def test_packed_pieces_cover_every_text(spark):
+    out = queries.op9_packing(spark, SF).collect()
+    texts = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    pieces, bins = {}, {}
+    for r in out:
+        pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+        bins.setdefault(r["bin_id"], []).append(r)
+    for i, row in texts.items():
+        assert sum(n for _, n in pieces.get(i, [])) == len(row["text"] or "")
+    for held in bins.values():
+        assert sum(r["length"] for r in held) <= 8192
+        assert len({texts[r["doc_id"]]["source"] for r in held}) == len(held) == len({texts[r["doc_id"]]["text"] for r in held})
+
+
+# --- language -----------------------------------------------------------------------------------------------
+
+def test_phrases_like_plain_search():
+    rnd = random.Random(7)
+    samples = {"x": ["".join(rnd.choice("abca ") for _ in range(300)) for _ in range(3)], "y": ["".join(rnd.choice("bcd,") for _ in range(500))]}
+    parser = langid.CrossParser(samples)
+
+    def plain(text, lang):
+        sample = bytes(c for t in samples[lang] for c in [*parser.alphabet[langid._points([t])].tolist(), 1])
+        n = 0
+        for at in range(0, len(text), langid.BLOCK):
+            block, i = bytes(parser.alphabet[langid._points([text[at:at + langid.BLOCK]])].tolist()), 0
+            while i < len(block):
+                j = i + 1
+                while j <= len(block) and block[i:j] in sample:
+                    j += 1
+                i, n = max(i + 1, j - 1), n + 1
+        return n
+
+    texts = ["".join(rnd.choice("abcdz, ") for _ in range(rnd.choice([1, 30, 512, 513, 1500]))) for _ in range(12)]
+    assert parser.phrases(texts).tolist() == [[plain(t, lang) for lang in parser.languages] for t in texts]
+
+
+def test_held_out_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = langid.language_table(docs).where("held_out").join(docs, "doc_id")
+    right, n = out.selectExpr("avg(cast(lang = lang_pred as double))", "count(*)").first()
+    assert n > 100 and right > 0.9
+
+
+# --- toxicity --------------------------------------------------------------------------------------------------
+
+def test_held_out_toxicity(spark):
+    sf = "/root/testdata/sf0.1"
+    out = queries.op3_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    rows = out.select("toxic", "predicted").collect()
+    caught = np.mean([r["predicted"] for r in rows if r["toxic"] == 1])
+    wrong = np.mean([r["predicted"] for r in rows if r["toxic"] == 0])
+    assert caught > 0.85 and wrong < 0.01
+
+
+# --- quality ---------------------------------------------------------------------------------------------------
+
+def test_plain_counts():
+    def count(text):
+        return quality.plain_counts(text, quality.words_of(text))
+
+    assert count("a b c a b c") == (6, 6, 0, 0, 6) and count("a a a a x") == (5, 5, 0, 0, 4)
+    assert count("one\ntwo\none\n\n \none ") == (4, 12, 0, 1, 0) and count("#a *b |") == (3, 5, 3, 0, 0)
+    assert count("\x1cx\u00a0y z") == (2, 5, 0, 0, 0)
+
+
+def test_verdicts_follow_the_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    out = queries.op4_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed")
+    kept = {r["quality"]: r["kept"] for r in out.groupBy("quality").agg({"kept": "count"}).withColumnRenamed("count(kept)", "kept").collect()}
+    good = out.where("quality = 1 and kept").count() / kept[1]
+    bad = out.where("quality = 0 and kept").count() / kept[0]
+    assert good > 0.95 and bad < 0.7
+
+
+# --- URLs and lines: SQL elsewhere; here the parts -----------------------------------------------------------
+
+def test_bloom_filter_misses_nothing(spark):
+    listed = spark.range(3000).selectExpr("concat('host', id, '.net/p') as url")
+    pages = listed.unionByName(spark.range(3000).selectExpr("concat('else', id, '.net/p') as url"))
+    out = url_filter.possible_hits(pages, listed, "url")
+    assert out.where("url like 'host%' and not tl_hit").count() == 0
+    assert out.where("url like 'else%' and tl_hit").count() < 60
+
+
+def test_shuffled_paths_agree(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    usual = sorted(line_dedup.dedup_lines(docs, min_sites=3).select("doc_id", "tl_text").collect())
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", -1)
+    assert sorted(line_dedup.dedup_lines(docs, min_sites=3).select("doc_id", "tl_text").collect()) == usual
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url")
+    usual = sorted(url_filter.judge_urls(pages, url_filter.urls_on_labels(pages)).select("page_id", "verdict").collect())
+    monkeypatch.setattr(url_filter, "BROADCAST_BYTES", -1)
+    assert sorted(url_filter.judge_urls(pages, url_filter.urls_on_labels(pages)).select("page_id", "verdict").collect()) == usual
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.01/{t}.parquet')")
+    out = queries.QUERIES[name](spark, "/root/testdata/sf0.01")
+    cols = ", ".join(out.columns)
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, con.execute(f"SELECT {cols} FROM ({queries.ORACLE_SQL[name]})").fetchall()))
+
+
+# --- embeddings --------------------------------------------------------------------------------------------------
+
+def test_links_like_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "PIVOT_ROWS", 64)
+    monkeypatch.setattr(embed_dedup, "SHARD_ROWS", 160)  # forces blocks
+    rnd = np.random.default_rng(8)
+    centre = rnd.normal(size=24)
+    blob = centre + 0.02 * rnd.normal(size=(220, 24)) * np.linalg.norm(centre) / 4
+    loose = rnd.normal(size=(500, 24))
+    near = loose[:60] + 0.02 * rnd.normal(size=(60, 24))
+    x = np.vstack([blob, loose, near, blob[:40]])
+    label = [0] * len(x)
+    rows = [(i, v.tolist(), la) for i, (v, la) in enumerate(zip(x, label))] + [(9000 + i, v.tolist(), 1) for i, v in enumerate(x[:5])]
+    out = embed_dedup.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.98
+    np.fill_diagonal(linked, False)
+    pairs = [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(linked)))]
+    root = groups(pairs, range(len(x)))
+    got = {r["vec_id"]: r for r in out}
+    found = sum(got[i]["n_links"] for i in range(len(x)))
+    assert all(got[i]["n_links"] <= linked[i].sum() for i in range(len(x))) and found >= 0.99 * linked.sum()
+    assert sum(got[i]["component_id"] == root[i] for i in range(len(x))) >= 0.99 * len(x)
+
+
+# --- the pipeline ------------------------------------------------------------------------------------------------
+
+def test_pipeline_like_plain_steps(spark):
+    """The model stage is taken as it decides; all later stages are redone in plain Python on its output."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = corpus_pipeline.remove_toxic(spark, docs, sf).cache()
+    rows = sorted((r["doc_id"], r["text"] or "", r["source"]) for r in kept.collect())
+    sites, first = {}, {}
+    for i, text, source in rows:
+        for pos, raw in enumerate(text.split("\n")):
+            line = re.sub("[ \t\r]+", " ", raw).strip(" ")
+            if len(line.split(" ")) >= 3:
+                sites.setdefault(line, set()).add(source)
+                first.setdefault(line, (i, pos))
+    cleaned = []
+    for i, text, source in rows:
+        lines = text.split("\n")
+        plain = [re.sub("[ \t\r]+", " ", raw).strip(" ") for raw in lines]
+        left = [raw for pos, (raw, line) in enumerate(zip(lines, plain)) if len(sites.get(line, ())) < 8 or first[line] == (i, pos)]
+        new = "\n".join(left)
+        if not text.split() or len(new.encode().split()) >= 0.5 * len(text.encode().split()):
+            cleaned.append((i, new))
+    prints = simhash.fingerprints([t for _, t in cleaned], 3, 42).tolist()
+    near = [(a[0], b[0]) for k, (a, p) in enumerate(zip(cleaned, prints)) for b, q in zip(cleaned[:k], prints[:k]) if (p ^ q).bit_count() <= 2]
+    root = groups(near, [i for i, _ in cleaned])
+    last = {i: pii.redact(t, pii.find_spans(t)) for i, t in cleaned if root[i] == i}
+    out = kept
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage(spark, out, sf)
+    out = out.cache()
+    assert {r["doc_id"]: r["text"] or "" for r in out.collect()} == last
+    packed = corpus_pipeline.pack_sequences(spark, out, sf).groupBy("doc_id").sum("length").collect()
+    assert {r["doc_id"]: r["sum(length)"] for r in packed} == {i: len(t) for i, t in last.items() if t}
