@@ -49,7 +49,7 @@ def test_pbp_slice_and_team_game_stats(spark):
        "away_team string, yards_gained double, posteam_score double, pass_attempt double, rush_attempt double, epa double")
     sl = marts.fct_pbp(pbp)
     assert sl.count() == 3 and len(sl.columns) == len(marts.PBP_SLICE)
-    assert dict(sl.dtypes)["play_id"] == "int" and dict(sl.dtypes)["pass_attempt"] == "boolean"
+    assert dict(sl.dtypes)["play_id"] == "bigint" and dict(sl.dtypes)["pass_attempt"] == "boolean"
     teams = spark.createDataFrame([(202316, 2023, "KC"), (202319, 2023, "LV")], "team_id int, season int, abbr string")
     tg = {r.team_id: r for r in marts.fct_team_game_stats(sl, teams).collect()}
     assert tg[202316].total_yards == 25 and tg[202316].pass_yards == 20 and tg[202316].rush_yards == 5
@@ -59,7 +59,7 @@ def test_pbp_slice_and_team_game_stats(spark):
 def test_stage_dataset_dedup_and_null_keys(spark, tmp_path):
     lake = str(tmp_path / "lake")
     spec = REGISTRY["player_stats"]
-    rows = [("p1", 2023, 1, 10.0), ("p1", 2023, 1, 10.0), ("p2", None, 1, 3.0), ("p3", 2023, 2, 4.0)]
+    rows = [("p1", 2023, 1, 10.0), ("p1", 2023, 1, 10.0), ("p2", 2023, None, 3.0), ("p3", 2023, 2, 4.0)]
     spark.createDataFrame(rows, "player_id string, season int, week int, yards double") \
         .write.parquet(spec.raw_root(lake) + "/season=2023")
     schema = T.StructType.fromDDL("player_id string, season int, week int, yards double")

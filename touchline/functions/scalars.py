@@ -87,7 +87,7 @@ def null_safe_sum(*cols) -> Column:
 def kickoff_timestamp(day_col, time_col, default_time: str = "00:00") -> Column:
     """SCA-9: 'YYYY-MM-DD' || ' ' || coalesce(time, '00:00') -> timestamp_ntz (NULL on junk)."""
     text = F.concat_ws(" ", _c(day_col).cast("string"), F.coalesce(_c(time_col), F.lit(default_time)))
-    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")
+    return text.try_cast("timestamp_ntz")  # reads H:mm, HH:mm and HH:mm:ss
 
 
 def clamp(col, lo, hi) -> Column:
@@ -106,7 +106,7 @@ def position_order(col) -> Column:
 
 def percent_label(col) -> Column:
     """SCA-17: 0.6667 -> '67%'."""
-    return F.concat(F.format_number(_c(col) * 100, 0), F.lit("%"))
+    return F.format_string("%.0f%%", F.bround(_c(col).cast("double") * 100, 0))
 
 
 def id_label(name_col, id_col) -> Column:

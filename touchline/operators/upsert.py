@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,13 +60,16 @@ class VersionedTable:
         self.spark, self.root, self.partition_by = spark, root.rstrip("/"), list(partition_by)
 
     def version(self) -> int | None:
-        """Highest version present, from a file listing only (no data or schema is read)."""
-        try:
-            listing = self.spark.read.format("binaryFile").option("basePath", self.root).load(f"{self.root}/v=*")
-            row = listing.select("v").agg(F.max("v").alias("v")).first()
-        except Exception:  # noqa: BLE001 - nothing committed yet
-            return None
-        return None if row is None or row["v"] is None else int(row["v"])
+        """Highest committed version: one whose job left its ``_SUCCESS`` marker."""
+        return max(self._versions("/_SUCCESS"), default=None)
+
+    def _versions(self, marker: str = "") -> list[int]:
+        from touchline.sources.sinks import file_system
+
+        fs, make = file_system(self.spark, self.root)
+        found = fs.globStatus(make(f"{self.root}/v=*{marker}")) or []
+        paths = (s.getPath().toString().removesuffix(marker) for s in found)
+        return [int(p.rpartition("v=")[2]) for p in paths]
 
     def read(self) -> DataFrame | None:
         v = self.version()
@@ -74,7 +78,7 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.root}/v={v}")
 
     def commit(self, df: DataFrame) -> int:
-        v = (self.version() or 0) + 1
+        v = max(self._versions(), default=0) + 1  # a failed attempt keeps its number
         w = df.write.mode("errorifexists")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
@@ -109,8 +113,10 @@ def upsert_partitions(spark: SparkSession, table_path: str, updates: DataFrame,
         raise ValueError("partition columns must be part of the key")
     try:
         current = spark.read.parquet(table_path)
-    except Exception:  # noqa: BLE001 - first write
-        current = None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        current = None  # first write
     if current is None:
         merged = updates
     else:

@@ -500,7 +500,7 @@ def _hub_names(spark: SparkSession, sf: str) -> DataFrame:
     """Display names from the latest hub snapshot, keyed by the entity id."""
     from touchline.plans import identity
     latest = identity.latest_snapshot_rows(identity.stage_hub(feeds.raw_hub(spark, sf)))
-    return latest.select(F.substring("sleeper_id", 2, 6).cast("long").alias("player_id"), "full_name")
+    return latest.select(F.expr("substr(sleeper_id, 2)").cast("long").alias("player_id"), "full_name")
 
 
 @register("projection_summary", O.with_base(
@@ -513,7 +513,7 @@ SELECT coalesce(h.full_name, '#' || CAST(p.player_id AS VARCHAR)) AS player, p.p
   round(p.pts, 1) AS pts, round(p.proj_pass_yards, 0) AS pass_yd, round(p.proj_rush_yards, 0) AS rush_yd,
   round(p.proj_receptions, 1) AS rec, round(p.proj_rec_yards, 0) AS rec_yd,
   round(p.proj_pass_tds + p.proj_rush_tds + p.proj_rec_tds, 1) AS tds
-FROM priced p LEFT JOIN hub_latest h ON CAST(substr(h.sleeper_id, 2, 6) AS BIGINT) = p.player_id
+FROM priced p LEFT JOIN hub_latest h ON CAST(substr(h.sleeper_id, 2) AS BIGINT) = p.player_id
 ORDER BY p.pts DESC, p.player_id LIMIT 25""")
 def q_projection_summary(spark: SparkSession, sf: str) -> DataFrame:
     """TOP-1 + JOI-14 + SCA-16: the top 25 next-season ppr lines, '#<id>' when no name is known."""

@@ -108,13 +108,13 @@ def q_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("dim_players_union", _with(IDENT, """dimp AS (
-  SELECT CAST(k.player_id AS INTEGER) AS player_id, h.full_name, h.first_name, h.last_name, h.position,
+  SELECT CAST(k.player_id AS BIGINT) AS player_id, h.full_name, h.first_name, h.last_name, h.position,
     NULL::DATE AS birthdate, h.height_inches, NULL::INTEGER AS weight_lbs, NULL::VARCHAR AS college,
     NULL::INTEGER AS draft_year, NULL::INTEGER AS draft_round, NULL::INTEGER AS draft_pick,
     NULL::INTEGER AS debut_season, NULL::VARCHAR AS status
   FROM keys1 k JOIN hub_latest h ON h.sleeper_id = k.sleeper_id
   UNION ALL
-  SELECT CAST(k.player_id AS INTEGER), m.full_name, m.first_name, m.last_name, m.position,
+  SELECT CAST(k.player_id AS BIGINT), m.full_name, m.first_name, m.last_name, m.position,
     NULL::DATE, NULL::INTEGER, m.weight_lbs, NULL::VARCHAR, NULL::INTEGER, NULL::INTEGER, NULL::INTEGER,
     NULL::INTEGER, m.status
   FROM mkeys k JOIN master m ON m.gsis_id = k.gsis_id
@@ -198,8 +198,8 @@ SQL_PLAYS = f"""plays AS (
     CAST(l.l_quantity AS INTEGER) AS yardline_100,
     CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS rush_attempt,
     CASE WHEN l.l_returnflag = 'A' THEN 1 ELSE 0 END AS pass_attempt,
-    CASE WHEN l.l_returnflag = 'R' THEN '00-' || lpad(CAST(o.o_custkey AS VARCHAR), 7, '0') END AS rusher_player_id,
-    CASE WHEN l.l_returnflag = 'A' THEN '00-' || lpad(CAST(o.o_custkey AS VARCHAR), 7, '0') END AS receiver_player_id
+    CASE WHEN l.l_returnflag = 'R' THEN '00-' || CAST(o.o_custkey AS VARCHAR) END AS rusher_player_id,
+    CASE WHEN l.l_returnflag = 'A' THEN '00-' || CAST(o.o_custkey AS VARCHAR) END AS receiver_player_id
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 ),
 rz_rush AS (
@@ -239,14 +239,14 @@ def snaps_feed(spark: SparkSession, sf: str) -> DataFrame:
          + F.sum(F.coalesce("targets", F.lit(0)))).alias("offense_snaps"))
     j = pg.join(c, pg.player_id == c.c_custkey)
     return j.select(
-        F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("PF"), F.lpad(F.col("player_id").cast("string"), 5, "0")))
+        F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("PF"), F.col("player_id").cast("string")))
          .otherwise(F.concat(F.lit("PX"), F.col("player_id").cast("string"))).alias("pfr_player_id"),
         "season", "week", "offense_snaps",
         ((F.col("offense_snaps") % 100) / 100.0).alias("offense_pct"))
 
 
 SQL_SNAPS = """snaps_feed AS (
-  SELECT CASE WHEN c.c_nationkey % 2 = 0 THEN 'PF' || lpad(CAST(s.player_id AS VARCHAR), 5, '0')
+  SELECT CASE WHEN c.c_nationkey % 2 = 0 THEN 'PF' || CAST(s.player_id AS VARCHAR)
               ELSE 'PX' || CAST(s.player_id AS VARCHAR) END AS pfr_player_id,
     s.season, s.week, s.offense_snaps, (s.offense_snaps % 100) / 100.0 AS offense_pct
   FROM (SELECT player_id, season, week,
@@ -282,7 +282,7 @@ FACT_STAT_SQL = [
 _stat_sql = ",\n    ".join(f"CAST({'w.' + s if s else 'NULL'} AS {t}) AS {d}" for s, d, t in FACT_STAT_SQL)
 _canon = "coalesce((SELECT new FROM canon WHERE old = {c}), {c})"
 SQL_FACT = f"""fact AS (
-  SELECT CAST(x.player_id AS INTEGER) AS player_id, tg.game_id, CAST(w.season AS INTEGER) AS season,
+  SELECT CAST(x.player_id AS BIGINT) AS player_id, tg.game_id, CAST(w.season AS INTEGER) AS season,
     CAST(w.week AS INTEGER) AS week, dt.team_id, dopp.team_id AS opponent_id, w.position,
     sc.offensive_snaps, sc.offensive_snap_pct, NULL::INTEGER AS routes_run,
     {_stat_sql},

@@ -1,7 +1,7 @@
 """Feed-shaped views of the graded tables (the binding for identity and marts).
 
 hub snapshots  <- customer: two snapshot dates (an early one with the larger
-                  balances, the latest with every non-negative balance); ids
+                  balances, the latest with every customer); ids
                   carry junk ('' / '0') and some names are blank
 player master  <- customer: every customer has a master id
 schedule       <- orders: per (season, week) the teams that played pair up
@@ -24,7 +24,7 @@ N_TEAMS = 25
 LEGACY_BELOW = 5
 # Alias map built by rule: legacy 'Xkk' -> current 'Nkk' for the first LEGACY_BELOW nations.
 ALIASES = {f"X{k:02d}": f"N{k:02d}" for k in range(LEGACY_BELOW)}
-SNAPSHOTS = (("2026-08-01", 2000.0), ("2026-09-01", 0.0))  # (date, minimum balance listed)
+SNAPSHOTS = (("2026-08-01", "c_acctbal >= 2000"), ("2026-09-01", "true"))  # (date, which customers are listed)
 
 
 def code(key_col, legacy: bool = False):
@@ -33,7 +33,7 @@ def code(key_col, legacy: bool = False):
 
 
 def _gsis(custkey_col):
-    return F.concat(F.lit("00-"), F.lpad(custkey_col.cast("string"), 7, "0"))
+    return F.concat(F.lit("00-"), custkey_col.cast("string"))
 
 
 # ---------------------------------------------------------------------------
@@ -44,20 +44,20 @@ def raw_hub(spark: SparkSession, sf: str) -> DataFrame:
     c = binding.table(spark, sf, "customer")
     k = F.col("c_custkey")
     one = c.select(
-        F.concat(F.lit("S"), F.lpad(k.cast("string"), 6, "0")).alias("player_id"),
+        F.concat(F.lit("S"), k.cast("string")).alias("player_id"),
         F.when(F.col("c_mktsegment") != "MACHINERY", _gsis(k)).otherwise(F.lit("")).alias("gsis_id"),
         F.when(F.col("c_acctbal") > 7000, F.lit("0")).otherwise((k + 1000000).cast("string")).alias("espn_id"),
         F.when(F.col("c_nationkey") < 5, F.lit("")).otherwise((k + 2000000).cast("string")).alias("yahoo_id"),
         F.lit("Customer").alias("first_name"),
-        F.substring("c_name", 10, 9).alias("last_name"),
+        F.expr("substr(c_name, 10)").alias("last_name"),
         F.when(F.col("c_acctbal") < -900, F.lit("")).otherwise(F.col("c_name")).alias("full_name"),
         map_values(F.col("c_mktsegment"), SEGMENT_POSITION).alias("position"),
         code(F.col("c_nationkey")).alias("team"),
         (F.col("c_nationkey") + 60).cast("string").alias("height"),
         F.col("c_acctbal"),
     )
-    parts = [one.filter(F.col("c_acctbal") >= lo).withColumn("snapshot_date", F.lit(d).cast("date"))
-             for d, lo in SNAPSHOTS]
+    parts = [one.filter(listed).withColumn("snapshot_date", F.lit(d).cast("date"))
+             for d, listed in SNAPSHOTS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -71,9 +71,9 @@ def raw_master(spark: SparkSession, sf: str) -> DataFrame:
         _gsis(k).alias("gsis_id"),
         F.col("c_name").alias("display_name"),
         F.lit("Customer").alias("first_name"),
-        F.substring("c_name", 10, 9).alias("last_name"),
+        F.expr("substr(c_name, 10)").alias("last_name"),
         map_values(F.col("c_mktsegment"), SEGMENT_POSITION).alias("position"),
-        F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("PF"), F.lpad(k.cast("string"), 5, "0"))).alias("pfr_id"),
+        F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("PF"), k.cast("string"))).alias("pfr_id"),
         (k + 1000000).cast("string").alias("espn_id"),
         F.when(F.col("c_nationkey") % 3 == 0, F.lit("")).otherwise(
             F.concat(((k % 90) + 160).cast("string"), F.lit(".5"))).alias("weight"),
@@ -87,11 +87,11 @@ def _q(s: str) -> str:
 
 SQL_FEEDS = f"""
 raw_hub1 AS (
-  SELECT 'S' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS player_id,
-    CASE WHEN c_mktsegment <> 'MACHINERY' THEN '00-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') ELSE '' END AS gsis_id,
+  SELECT 'S' || CAST(c_custkey AS VARCHAR) AS player_id,
+    CASE WHEN c_mktsegment <> 'MACHINERY' THEN '00-' || CAST(c_custkey AS VARCHAR) ELSE '' END AS gsis_id,
     CASE WHEN c_acctbal > 7000 THEN '0' ELSE CAST(c_custkey + 1000000 AS VARCHAR) END AS espn_id,
     CASE WHEN c_nationkey < 5 THEN '' ELSE CAST(c_custkey + 2000000 AS VARCHAR) END AS yahoo_id,
-    'Customer' AS first_name, substr(c_name, 10, 9) AS last_name,
+    'Customer' AS first_name, substr(c_name, 10) AS last_name,
     CASE WHEN c_acctbal < -900 THEN '' ELSE c_name END AS full_name,
     {binding._case_sql('c_mktsegment', SEGMENT_POSITION)} AS position,
     'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS team,
@@ -99,7 +99,7 @@ raw_hub1 AS (
   FROM customer
 ),
 raw_hub AS (
-  {' UNION ALL '.join(f"SELECT * EXCLUDE (c_acctbal), DATE '{d}' AS snapshot_date FROM raw_hub1 WHERE c_acctbal >= {lo}" for d, lo in SNAPSHOTS)}
+  {' UNION ALL '.join(f"SELECT * EXCLUDE (c_acctbal), DATE '{d}' AS snapshot_date FROM raw_hub1 WHERE {listed}" for d, listed in SNAPSHOTS)}
 ),
 hub_staged AS (
   SELECT player_id AS sleeper_id,
@@ -115,10 +115,10 @@ hub_staged AS (
 hub_latest AS (SELECT * FROM hub_staged WHERE snapshot_date = (SELECT max(snapshot_date) FROM hub_staged)),
 hub_first AS (SELECT * FROM hub_staged WHERE snapshot_date = (SELECT min(snapshot_date) FROM hub_staged)),
 master AS (
-  SELECT '00-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS gsis_id, c_name AS full_name,
-    'Customer' AS first_name, substr(c_name, 10, 9) AS last_name,
+  SELECT '00-' || CAST(c_custkey AS VARCHAR) AS gsis_id, c_name AS full_name,
+    'Customer' AS first_name, substr(c_name, 10) AS last_name,
     {binding._case_sql('c_mktsegment', SEGMENT_POSITION)} AS position,
-    CASE WHEN c_nationkey % 2 = 0 THEN 'PF' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') END AS pfr_id,
+    CASE WHEN c_nationkey % 2 = 0 THEN 'PF' || CAST(c_custkey AS VARCHAR) END AS pfr_id,
     CAST(c_custkey + 1000000 AS VARCHAR) AS espn_id,
     CAST(round(try_cast(trim(CASE WHEN c_nationkey % 3 = 0 THEN '' ELSE CAST(c_custkey % 90 + 160 AS VARCHAR) || '.5' END) AS DOUBLE)) AS INTEGER) AS weight_lbs,
     lower('ACT') AS status
@@ -147,7 +147,7 @@ mkeys AS (
   FROM (SELECT DISTINCT gsis_id FROM master) m LEFT JOIN hub_gsis hg ON hg.gsis_id = m.gsis_id
 ),
 xwalk AS (
-  SELECT CAST(min(player_id) AS INTEGER) AS player_id, source, source_id FROM (
+  SELECT CAST(min(player_id) AS BIGINT) AS player_id, source, source_id FROM (
     SELECT k.player_id, 'sleeper' AS source, h.sleeper_id AS source_id FROM keys1 k JOIN hub_latest h ON h.sleeper_id = k.sleeper_id
     UNION ALL SELECT k.player_id, 'gsis', h.gsis_id FROM keys1 k JOIN hub_latest h ON h.sleeper_id = k.sleeper_id
     UNION ALL SELECT k.player_id, 'espn', h.espn_id FROM keys1 k JOIN hub_latest h ON h.sleeper_id = k.sleeper_id
@@ -332,7 +332,7 @@ weekly AS (
   ) w JOIN customer c ON c.c_custkey = w.player_id
 ),
 weekly_feed AS (
-  SELECT '00-' || lpad(CAST(player_id AS VARCHAR), 7, '0') AS player_id, season, week,
+  SELECT '00-' || CAST(player_id AS VARCHAR) AS player_id, season, week,
     'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS team,
     CASE WHEN (((week - c_nationkey) % {N_TEAMS}) + {N_TEAMS}) % {N_TEAMS} < {LEGACY_BELOW} THEN 'X' ELSE 'N' END
       || lpad(CAST((((week - c_nationkey) % {N_TEAMS}) + {N_TEAMS}) % {N_TEAMS} AS VARCHAR), 2, '0') AS opponent_team,

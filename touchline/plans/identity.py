@@ -29,7 +29,8 @@ def _txt(df: DataFrame, name: str):
 def stage_hub(raw: DataFrame) -> DataFrame:
     """DOM-21 (hub): ids as clean text ('' and '0' -> NULL), typed bio, rows without a name dropped."""
     def try_int(name):
-        return F.expr(f"try_cast(nullif(cast(`{name}` as string), '') as int)") if name in raw.columns \
+        # D1b: number text rounds half away from zero, blanks and junk become NULL
+        return F.round(F.expr(f"try_cast(trim(cast(`{name}` as string)) as double)"), 0).cast("int") if name in raw.columns \
             else F.lit(None).cast("int")
     out = raw.select(
         F.col("player_id").cast("string").alias("sleeper_id"),
@@ -74,8 +75,11 @@ def hub_keys(hub: DataFrame, existing: DataFrame | None = None,
         reuse = new.sparkSession.createDataFrame([], "sleeper_id string, _rid long")
         floors = [existing]
     else:
-        reuse = lowest_per_key(new.join(master_keys, "gsis_id").select("sleeper_id", F.col("player_id").alias("_rid")),
-                               ["sleeper_id"], "_rid")
+        # an id that a hub row owns is not given again, and each remaining id goes to one hub row, the lowest
+        free = master_keys.select("gsis_id", F.col("player_id").alias("_rid")).join(
+            existing.select(F.col("player_id").alias("_rid")), "_rid", "left_anti")
+        once = lowest_per_key(new.join(free, "gsis_id").select("sleeper_id", "_rid"), ["sleeper_id"], "_rid")
+        reuse = lowest_per_key(once, ["_rid"], "sleeper_id").select("sleeper_id", "_rid")
         floors = [existing, master_keys]
     minted = mint_mixed(new, "sleeper_id", reuse, "_rid", floors)
     return existing.select("player_id", "sleeper_id").unionByName(minted)
@@ -105,7 +109,7 @@ def crosswalk(hub_registry: DataFrame, hub: DataFrame, master_registry: DataFram
     master_long = unpivot_ids(m, "player_id", [("gsis", "gsis_id"), ("pfr", "pfr_id"), ("espn", "espn_id")])
     allx = hub_long.unionByName(master_long)
     return lowest_per_key(allx, ["source", "source_id"], "player_id").select(
-        F.col("player_id").cast("int").alias("player_id"), "source", "source_id")
+        F.col("player_id").cast("long").alias("player_id"), "source", "source_id")
 
 
 def stage_master(raw: DataFrame) -> DataFrame:
@@ -142,14 +146,14 @@ def dim_players(hub_registry: DataFrame, hub: DataFrame, master_registry: DataFr
                 previous: DataFrame | None = None, now: str | None = None, with_timestamps: bool = True) -> DataFrame:
     """SET-1 + JOI-8 + SNK-7: hub bio wins; master bio fills players the hub lacks."""
     hub_rows = hub_registry.join(hub, "sleeper_id").select(
-        F.col("player_id").cast("int").alias("player_id"), "full_name", "first_name", "last_name", "position",
+        F.col("player_id").cast("long").alias("player_id"), "full_name", "first_name", "last_name", "position",
         F.col("birth_date").alias("birthdate"), "height_inches", "weight_lbs", "college",
         *[F.lit(None).cast("int").alias(c) for c in ("draft_year", "draft_round", "draft_pick", "debut_season")],
         "status")
     m_rows = master_registry.join(master, "gsis_id").filter(F.col("full_name").isNotNull()).select(
-        F.col("player_id").cast("int").alias("player_id"), *DIM_PLAYER_COLUMNS[1:])
+        F.col("player_id").cast("long").alias("player_id"), *DIM_PLAYER_COLUMNS[1:])
     # JOI-8: the master branch excludes every id the hub registry minted
-    m_rows = m_rows.join(hub_registry.select(F.col("player_id").cast("int").alias("player_id")),
+    m_rows = m_rows.join(hub_registry.select(F.col("player_id").cast("long").alias("player_id")),
                          "player_id", "left_anti")
     out = union_first_wins(hub_rows, m_rows, "player_id")
     return preserve_created(out, previous, "player_id", now) if with_timestamps else out

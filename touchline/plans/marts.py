@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.functions.scalars import (
     canonical_code, kickoff_timestamp, null_safe_sum, remap_value, season_type, try_date,
@@ -128,7 +129,7 @@ def vegas_closing_lines(schedule: DataFrame) -> DataFrame:
 
 def _xwalk(crosswalk: DataFrame, source: str, key: str) -> DataFrame:
     return crosswalk.filter(F.col("source") == source).select(
-        F.col("source_id").alias(key), F.col("player_id").cast("int").alias("player_id"))
+        F.col("source_id").alias(key), F.col("player_id").cast("long").alias("player_id"))
 
 
 def snap_counts(snaps: DataFrame, crosswalk: DataFrame) -> DataFrame:
@@ -238,7 +239,7 @@ def fct_player_game_stats(stats: DataFrame, crosswalk: DataFrame, teams: DataFra
             j = j.join(extra, keys, "left")
     ts = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
     cols = [
-        F.col("player_id").cast("int").alias("player_id"), F.col("game_id"),
+        F.col("player_id").cast("long").alias("player_id"), F.col("game_id"),
         F.col("season").cast("int").alias("season"), F.col("week").cast("int").alias("week"),
         F.col("team_id"), F.col("opponent_id"), F.col("position"),
         col_or_null(j, "offensive_snaps", "int").alias("offensive_snaps"),
@@ -246,7 +247,7 @@ def fct_player_game_stats(stats: DataFrame, crosswalk: DataFrame, teams: DataFra
         F.lit(None).cast("int").alias("routes_run"),
     ]
     for src, dst, typ in FACT_STAT_COLUMNS:
-        cols.append(col_or_null(j, src, "double").cast(typ).alias(dst))
+        cols.append(_typed(col_or_null(j, src, "double"), typ, j, src).alias(dst))
     cols += [
         F.lit(None).cast("decimal(6,2)").alias("rush_yards_before_contact"),
         col_or_null(j, "rush_yards_over_expected", "decimal(6,2)").alias("rush_yards_over_expected"),
@@ -271,7 +272,7 @@ def fct_player_game_stats(stats: DataFrame, crosswalk: DataFrame, teams: DataFra
 
 # FIXED VALUES — the play-by-play slice: (output column, source column, cast or None).
 PBP_SLICE = (
-    ("game_id", "game_id", None), ("play_id", "play_id", "int"), ("season", "season", "int"),
+    ("game_id", "game_id", None), ("play_id", "play_id", "long"), ("season", "season", "int"),
     ("week", "week", "int"), ("season_type", "season_type", None), ("posteam", "posteam", None),
     ("defteam", "defteam", None), ("home_team", "home_team", None), ("away_team", "away_team", None),
     ("qtr", "qtr", "int"), ("down", "down", "int"), ("ydstogo", "ydstogo", "int"),
@@ -302,12 +303,19 @@ PBP_SLICE = (
 )
 
 
+def _typed(value, typ: str, df: DataFrame, src: str):
+    """D1: a whole number from a fractional source column is rounded half-even; any other cast is strict."""
+    if typ in ("int", "long") and src in df.columns and isinstance(df.schema[src].dataType, (T.DoubleType, T.FloatType)):
+        return F.bround(F.col(src).cast("double"), 0).cast(typ)
+    return value.cast(typ)
+
+
 def project_spec(df: DataFrame, spec: Sequence[tuple[str, str, str | None]]) -> DataFrame:
     """PRJ-1: rename + strict cast from a spec table; missing source columns -> NULL."""
     cols = []
     for out, src, typ in spec:
         c = col_or_null(df, src, typ or "string")
-        cols.append((c.cast(typ) if typ else c).alias(out))
+        cols.append((_typed(c, typ, df, src) if typ else c).alias(out))
     return df.select(*cols)
 
 

@@ -6,6 +6,7 @@ depend on which file a sampler happened to open (SURVEY D5).
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,14 +33,20 @@ def read_lake(spark: SparkSession, root: str, schema: T.StructType, *, hive: boo
 
     Files missing a column read it as NULL; a file written with a narrower type
     (int where the schema says bigint/double) is widened by the reader.  With
-    ``hive`` the ``key=value`` folders become columns (typed by ``schema`` when it
-    names them); without it they stay in the path only.
+    ``hive`` the ``key=value`` folders become columns, typed by ``schema`` when it
+    names them.  Without it files are found at any depth, and a schema column that a
+    file's path names as ``key=value`` takes that value.
     """
-    r = spark.read.schema(schema)
     if hive:
-        r = r.option("basePath", root)
-        return r.parquet(root)
-    return r.option("recursiveFileLookup", "true").parquet(root)
+        return spark.read.schema(schema).option("basePath", root).parquet(root)
+    df = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(root)
+    cols = []
+    for f in schema.fields:
+        named = F.regexp_extract(F.col("_metadata.file_path"), f"/{re.escape(f.name)}=([^/]+)/", 1)
+        named = F.when(~named.isin("", "__HIVE_DEFAULT_PARTITION__"), named).cast(f.dataType) \
+            if isinstance(f.dataType, T.AtomicType) else F.lit(None).cast(f.dataType)
+        cols.append(F.coalesce(named, F.col(f.name)).alias(f.name))
+    return df.select(*cols)
 
 
 def try_register_view(spark: SparkSession, name: str, path: str) -> bool:

@@ -6,10 +6,11 @@ never from re-reading what was written.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,13 +21,37 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """SNK-1: replace a dataset in one job; the output committer stages files and
-    publishes them only at job commit, so a failed write leaves no partial table."""
+    """SNK-1: replace a dataset.  The new rows go to a folder beside the old one, which
+    is swapped in by renames only once the write has succeeded; a failed write leaves the
+    old table as it was.  (Spark's own overwrite deletes the old files first.)"""
     out, obs = _observed(df, "write_table")
-    out.write.mode("overwrite").format(fmt).save(path)
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    out.write.mode("errorifexists").format(fmt).save(fresh)
+    replace_folder(df.sparkSession, fresh, path)
     return int(obs.get["rows"])
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and a constructor of its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``; the old one goes last, and comes back if the swap fails."""
+    fs, make = file_system(spark, path)
+    old = make(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    had = fs.exists(make(path))
+    if had and not fs.rename(make(path), old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(make(fresh), make(path)):
+        if had:
+            fs.rename(old, make(path))
+        raise OSError(f"cannot move {fresh} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -> int:
     """SNK-2: full refresh of a Hive-partitioned dataset; returns rows written.
 
