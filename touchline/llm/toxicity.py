@@ -40,7 +40,7 @@ NEAR = 6  # words
 FEATURES = ("hits", "hit_rate", "strength", "top_odds", "distinct_hits", "stem_hits", "stem_rate", "stem_strength",
             "you_rate", "you_near", "caps", "caps_words", "exclaim", "punct", "obfuscated", "log_words")
 _WORD = re.compile(r"[^\W_]+")
-_OBFUSCATED = re.compile(r"[A-Za-z]+[@$!*#0134]+[A-Za-z]+|\b(?:[A-Za-z][.\-_* ]){3,}[A-Za-z]\b")
+_OBFUSCATED = re.compile(r"(?<=[A-Za-z])[@$!*#0134]++(?=[A-Za-z])|(?<!\w)(?:[A-Za-z][.\-_* ]){3,}+[A-Za-z](?!\w)")  # linear in the text
 _DISGUISE = str.maketrans("013457@$", "oieastas")
 
 
