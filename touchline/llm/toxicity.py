@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -40,7 +41,8 @@ NEAR = 6  # words
 FEATURES = ("hits", "hit_rate", "strength", "top_odds", "distinct_hits", "stem_hits", "stem_rate", "stem_strength",
             "you_rate", "you_near", "caps", "caps_words", "exclaim", "punct", "obfuscated", "log_words")
 _WORD = re.compile(r"[^\W_]+")
-_OBFUSCATED = re.compile(r"(?<=[A-Za-z])[@$!*#0134]++(?=[A-Za-z])|(?<!\w)(?:[A-Za-z][.\-_* ]){3,}+[A-Za-z](?!\w)")  # linear in the text
+#: Letters parted by disguise characters, or single letters spelled apart; each run is tried at its start only.
+_OBFUSCATED = re.compile(r"(?<=[A-Za-z])[@$!*#0134]++(?=[A-Za-z])|(?<!\w)(?<![A-Za-z][.\-_* ])[A-Za-z](?:[.\-_* ][A-Za-z](?!\w)){3,}+")
 _DISGUISE = str.maketrans("013457@$", "oieastas")
 
 
@@ -76,7 +78,7 @@ def features_of(text: str, lexicon: Lexicon) -> tuple[float, ...]:
             top = max(top, odds[w])
     stems = [stem_odds[s] for w in words if len(w) > STEM and (s := w[:STEM]) in stem_odds]
     you = [i for i, w in enumerate(words) if w in YOU]
-    near = sum(any(abs(i - j) <= NEAR for j in you) for i in at) if you else 0
+    near = sum(bisect_right(you, i + NEAR) > bisect_left(you, i - NEAR) for i in at) if you else 0
     letters = sum(map(str.isalpha, text)) if text.isupper() else None
     capitals = letters if letters is not None else sum(map(len, _CAPITALS.findall(text)))
     return (float(len(at)), 100.0 * len(at) / n, strength, top, float(len(kinds)), float(len(stems)), 100.0 * len(stems) / n,
