@@ -42,7 +42,7 @@ FEATURES = ("hits", "hit_rate", "strength", "top_odds", "distinct_hits", "stem_h
             "you_rate", "you_near", "caps", "caps_words", "exclaim", "punct", "obfuscated", "log_words")
 _WORD = re.compile(r"[^\W_]+")
 #: Letters parted by disguise characters, or single letters spelled apart; each run is tried at its start only.
-_OBFUSCATED = re.compile(r"(?<=[A-Za-z])[@$!*#0134]++(?=[A-Za-z])|(?<!\w)(?<![A-Za-z][.\-_* ])[A-Za-z](?:[.\-_* ][A-Za-z](?!\w)){3,}+")
+_OBFUSCATED = re.compile(r"(?<=[A-Za-z])[@$!*#0134]++(?=[A-Za-z])|(?<!\w)(?<!\b[A-Za-z][.\-_* ])[A-Za-z](?:[.\-_* ][A-Za-z](?!\w)){3,}+")
 _DISGUISE = str.maketrans("013457@$", "oieastas")
 
 
