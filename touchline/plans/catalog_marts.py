@@ -155,18 +155,15 @@ def q_home_away(spark: SparkSession, sf: str) -> DataFrame:
     return marts.team_games(_teams_games(spark, sf)[2])
 
 
-@register("vegas_lines", _with(SCHED, """lines AS (
-  SELECT game_id, try_cast(gameday || ' ' || coalesce(gametime, '00:00') AS TIMESTAMP) AS snapshot_at,
-    CAST(-spread_line AS DECIMAL(4,1)) AS spread_home, CAST(spread_line AS DECIMAL(4,1)) AS spread_away,
-    CAST(total_line AS DECIMAL(4,1)) AS total,
-    CAST(home_moneyline AS INTEGER) AS home_moneyline, CAST(away_moneyline AS INTEGER) AS away_moneyline
-  FROM schedule WHERE gameday IS NOT NULL AND (spread_line IS NOT NULL OR total_line IS NOT NULL)
-)""") + """
-SELECT game_id, snapshot_at, 'nflverse_closing' AS sportsbook, spread_home, spread_away, total,
-  home_moneyline, away_moneyline,
-  CAST(total / 2.0 - spread_home / 2.0 AS DECIMAL(4,1)) AS home_implied_total,
-  CAST(total / 2.0 + spread_home / 2.0 AS DECIMAL(4,1)) AS away_implied_total
-FROM lines WHERE snapshot_at IS NOT NULL""")
+@register("vegas_lines", _with(SCHED) + """
+SELECT game_id, kickoff_time AS snapshot_at, 'nflverse_closing' AS sportsbook,
+  CAST(-spread_line AS DECIMAL(4,1)) AS spread_home, CAST(spread_line AS DECIMAL(4,1)) AS spread_away,
+  CAST(total_line AS DECIMAL(4,1)) AS total, CAST(home_moneyline AS INTEGER) AS home_moneyline,
+  CAST(away_moneyline AS INTEGER) AS away_moneyline,
+  CAST((total_line + spread_line) / 2 AS DECIMAL(4,1)) AS home_implied_total,
+  CAST((total_line - spread_line) / 2 AS DECIMAL(4,1)) AS away_implied_total
+FROM schedule JOIN (SELECT game_id, kickoff_time FROM dim_games) USING (game_id)
+WHERE coalesce(spread_line, total_line) IS NOT NULL""")
 def q_vegas(spark: SparkSession, sf: str) -> DataFrame:
     """DOM-22 + FLT-5 + SCA-9 + SCA-13: closing lines with implied team totals."""
     return marts.vegas_closing_lines(feeds.schedule(spark, sf))
@@ -193,35 +190,17 @@ def plays_feed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-SQL_PLAYS = f"""plays AS (
-  SELECT CAST(year(l.l_shipdate) AS INTEGER) AS season, {binding.SQL_WEEK.format(c='l.l_shipdate')} AS week,
-    CAST(l.l_quantity AS INTEGER) AS yardline_100,
-    CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS rush_attempt,
-    CASE WHEN l.l_returnflag = 'A' THEN 1 ELSE 0 END AS pass_attempt,
-    CASE WHEN l.l_returnflag = 'R' THEN '00-' || CAST(o.o_custkey AS VARCHAR) END AS rusher_player_id,
-    CASE WHEN l.l_returnflag = 'A' THEN '00-' || CAST(o.o_custkey AS VARCHAR) END AS receiver_player_id
-  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-),
-rz_rush AS (
-  SELECT rusher_player_id AS gsis, season, week,
-    count(*) FILTER (WHERE yardline_100 <= 20) AS rz_carries, count(*) FILTER (WHERE yardline_100 <= 5) AS inside_5_carries
-  FROM plays WHERE rush_attempt = 1 AND rusher_player_id IS NOT NULL GROUP BY 1, 2, 3
-),
-rz_rec AS (
-  SELECT receiver_player_id AS gsis, season, week,
-    count(*) FILTER (WHERE yardline_100 <= 20) AS rz_targets, count(*) FILTER (WHERE yardline_100 <= 5) AS inside_5_targets
-  FROM plays WHERE pass_attempt = 1 AND receiver_player_id IS NOT NULL GROUP BY 1, 2, 3
-),
-redzone AS (
-  SELECT g.player_id, CAST(c.season AS INTEGER) AS season, CAST(c.week AS INTEGER) AS week,
-    CAST(c.rz_carries AS INTEGER) AS rz_carries, CAST(c.rz_targets AS INTEGER) AS rz_targets,
-    CAST(c.inside_5_carries AS INTEGER) AS inside_5_carries, CAST(c.inside_5_targets AS INTEGER) AS inside_5_targets
-  FROM (
-    SELECT coalesce(r.gsis, t.gsis) AS gsis, coalesce(r.season, t.season) AS season, coalesce(r.week, t.week) AS week,
-      coalesce(r.rz_carries, 0) AS rz_carries, coalesce(r.inside_5_carries, 0) AS inside_5_carries,
-      coalesce(t.rz_targets, 0) AS rz_targets, coalesce(t.inside_5_targets, 0) AS inside_5_targets
-    FROM rz_rush r FULL OUTER JOIN rz_rec t ON r.gsis = t.gsis AND r.season = t.season AND r.week = t.week
-  ) c JOIN (SELECT source_id AS gsis, player_id FROM xwalk WHERE source = 'gsis') g ON g.gsis = c.gsis
+SQL_PLAYS = f"""redzone AS (
+  SELECT x.player_id, t.season, t.week,
+    CAST(count(*) FILTER (t.flag = 'R' AND t.yards <= 20) AS INTEGER) AS rz_carries,
+    CAST(count(*) FILTER (t.flag = 'A' AND t.yards <= 20) AS INTEGER) AS rz_targets,
+    CAST(count(*) FILTER (t.flag = 'R' AND t.yards <= 5) AS INTEGER) AS inside_5_carries,
+    CAST(count(*) FILTER (t.flag = 'A' AND t.yards <= 5) AS INTEGER) AS inside_5_targets
+  FROM (SELECT '00-' || CAST(o.o_custkey AS VARCHAR) AS gsis, l.l_returnflag AS flag, CAST(l.l_quantity AS INTEGER) AS yards,
+          CAST(year(l.l_shipdate) AS INTEGER) AS season, CAST({binding.SQL_WEEK.format(c='l.l_shipdate')} AS INTEGER) AS week
+        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_returnflag IN ('R', 'A')) t
+  JOIN xwalk x ON x.source = 'gsis' AND x.source_id = t.gsis
+  GROUP BY t.gsis, x.player_id, t.season, t.week
 )"""
 
 
@@ -333,20 +312,19 @@ def q_crosswalk_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 def pbp_feed(spark: SparkSession, sf: str) -> DataFrame:
     """Play-by-play-shaped rows: each line is a play of its customer's nation against
-    the nation it is paired with that week (bye weeks have no game, so no play)."""
+    the team it is paired with that week."""
     li = binding.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
     o = binding.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = binding.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
     j = j.select("*", binding.season_of("l_shipdate").alias("season"), binding.week_of("l_shipdate").alias("week"))
-    opp = F.pmod(F.col("week") - F.col("c_nationkey"), F.lit(feeds.N_TEAMS))
-    j = j.withColumn("opp", opp).filter(F.col("opp") != F.col("c_nationkey"))
+    j = j.withColumn("opp", feeds.opponent(F.col("week"), F.col("c_nationkey")))
     home = F.least("c_nationkey", "opp")
     rf = F.col("l_returnflag")
     return j.select(
         F.format_string("%d_%02d_%02d", "season", "week", home).alias("game_id"),
-        F.col("l_orderkey").alias("play_id"), "season", "week",
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("play_id"), "season", "week",
         feeds.code(F.col("c_nationkey")).alias("posteam"), feeds.code(F.col("opp"), legacy=True).alias("defteam"),
         feeds.code(home).alias("home_team"),
         F.col("l_quantity").alias("yards_gained"),
@@ -366,9 +344,9 @@ SQL_PBP = f"""pbp AS (
   FROM (
     SELECT l.*, c.c_nationkey AS nat, CAST(year(l.l_shipdate) AS INTEGER) AS season,
       {binding.SQL_WEEK.format(c='l.l_shipdate')} AS week,
-      ((({binding.SQL_WEEK.format(c='l.l_shipdate')} - c.c_nationkey) % {feeds.N_TEAMS}) + {feeds.N_TEAMS}) % {feeds.N_TEAMS} AS opp
+      {feeds.sql_opponent(binding.SQL_WEEK.format(c='l.l_shipdate'), 'c.c_nationkey')} AS opp
     FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
-  ) x WHERE opp <> nat
+  ) x
 ),
 off AS (
   SELECT game_id, season, week, team, opp_code AS opp, CAST(count(*) AS INTEGER) AS plays,

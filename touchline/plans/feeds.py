@@ -5,8 +5,9 @@ hub snapshots  <- customer: two snapshot dates (an early one with the larger
                   carry junk ('' / '0') and some names are blank
 player master  <- customer: every customer has a master id
 schedule       <- orders: per (season, week) the teams that played pair up
-                  round-robin (team k meets (week - k) mod 25; k == that is a
-                  bye), so each team has at most one game per week
+                  round-robin (team k meets (week - k) mod 25; the team that
+                  would meet itself plays a visitor outside the nations, so no
+                  team-week is without a game)
 weekly stats   <- player_games summed per (customer, season, week)
 team codes     <- nation: 'N00'..'N24'; the away side spells nations 0-4 with a
                   legacy code 'X00'..'X04' that the alias map canonicalises
@@ -21,9 +22,11 @@ from touchline.plans import binding
 from touchline.plans.binding import SEGMENT_POSITION, map_values
 
 N_TEAMS = 25
+VISITOR = N_TEAMS  # the extra opponent; it has no metadata, so its team id stays unresolved
 LEGACY_BELOW = 5
 # Alias map built by rule: legacy 'Xkk' -> current 'Nkk' for the first LEGACY_BELOW nations.
 ALIASES = {f"X{k:02d}": f"N{k:02d}" for k in range(LEGACY_BELOW)}
+HEIGHT_ENDS = ("", ".0", ".5")  # heights arrive as text of all three forms
 SNAPSHOTS = (("2026-08-01", "c_acctbal >= 2000"), ("2026-09-01", "true"))  # (date, which customers are listed)
 
 
@@ -32,6 +35,17 @@ def code(key_col, legacy: bool = False):
     return F.concat(pref, F.lpad(key_col.cast("string"), 2, "0"))
 
 
+def opponent(week, nation):
+    """Key of the team that ``nation`` meets in ``week``."""
+    opp = F.pmod(week - nation, F.lit(N_TEAMS))
+    return F.when(opp == nation, VISITOR).otherwise(opp)
+
+
+def sql_opponent(week: str, nation: str) -> str:
+    opp = f"((({week} - {nation}) % {N_TEAMS}) + {N_TEAMS}) % {N_TEAMS}"
+    return f"(CASE WHEN {opp} = {nation} THEN {VISITOR} ELSE {opp} END)"
+
+
 def _gsis(custkey_col):
     return F.concat(F.lit("00-"), custkey_col.cast("string"))
 
@@ -53,7 +67,8 @@ def raw_hub(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("c_acctbal") < -900, F.lit("")).otherwise(F.col("c_name")).alias("full_name"),
         map_values(F.col("c_mktsegment"), SEGMENT_POSITION).alias("position"),
         code(F.col("c_nationkey")).alias("team"),
-        (F.col("c_nationkey") + 60).cast("string").alias("height"),
+        F.concat((F.col("c_nationkey") + 60).cast("string"),
+                 F.element_at(F.array(*map(F.lit, HEIGHT_ENDS)), (F.col("c_nationkey") % 3 + 1).cast("int"))).alias("height"),
         F.col("c_acctbal"),
     )
     parts = [one.filter(listed).withColumn("snapshot_date", F.lit(d).cast("date"))
@@ -81,10 +96,6 @@ def raw_master(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _q(s: str) -> str:
-    return s
-
-
 SQL_FEEDS = f"""
 raw_hub1 AS (
   SELECT 'S' || CAST(c_custkey AS VARCHAR) AS player_id,
@@ -95,7 +106,7 @@ raw_hub1 AS (
     CASE WHEN c_acctbal < -900 THEN '' ELSE c_name END AS full_name,
     {binding._case_sql('c_mktsegment', SEGMENT_POSITION)} AS position,
     'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS team,
-    CAST(c_nationkey + 60 AS VARCHAR) AS height, c_acctbal
+    CAST(c_nationkey + 60 AS VARCHAR) || (CASE c_nationkey % 3 WHEN 0 THEN '' WHEN 1 THEN '.0' ELSE '.5' END) AS height, c_acctbal
   FROM customer
 ),
 raw_hub AS (
@@ -109,7 +120,7 @@ hub_staged AS (
     NULL::VARCHAR AS stats_id, NULL::VARCHAR AS swish_id, NULL::VARCHAR AS fantasy_data_id, NULL::VARCHAR AS oddsjam_id,
     nullif(first_name, '') AS first_name, nullif(last_name, '') AS last_name, nullif(full_name, '') AS full_name,
     nullif(position, '') AS position, nullif(team, '') AS team,
-    try_cast(nullif(height, '') AS INTEGER) AS height_inches, snapshot_date
+    CAST(round(try_cast(height AS DOUBLE)) AS INTEGER) AS height_inches, snapshot_date
   FROM raw_hub WHERE nullif(full_name, '') IS NOT NULL
 ),
 hub_latest AS (SELECT * FROM hub_staged WHERE snapshot_date = (SELECT max(snapshot_date) FROM hub_staged)),
@@ -140,11 +151,11 @@ hub_gsis AS (
   FROM hub_latest h JOIN keys1 k ON k.sleeper_id = h.sleeper_id
   WHERE h.gsis_id IS NOT NULL GROUP BY h.gsis_id
 ),
+master_only AS (SELECT gsis_id FROM master EXCEPT SELECT gsis_id FROM hub_gsis),
 mkeys AS (
-  SELECT coalesce(hg.player_id, (SELECT max(player_id) FROM keys1)
-           + row_number() OVER (PARTITION BY (hg.player_id IS NULL) ORDER BY m.gsis_id)) AS player_id,
-    m.gsis_id
-  FROM (SELECT DISTINCT gsis_id FROM master) m LEFT JOIN hub_gsis hg ON hg.gsis_id = m.gsis_id
+  SELECT player_id, gsis_id FROM hub_gsis SEMI JOIN master USING (gsis_id)
+  UNION ALL
+  SELECT (SELECT max(player_id) FROM keys1) + row_number() OVER (ORDER BY gsis_id), gsis_id FROM master_only
 ),
 xwalk AS (
   SELECT CAST(min(player_id) AS BIGINT) AS player_id, source, source_id FROM (
@@ -188,10 +199,10 @@ def team_weeks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def schedule(spark: SparkSession, sf: str) -> DataFrame:
-    """Schedules feed: one game per pair {k, (week-k) mod 25} of teams active that week."""
+    """Schedules feed: one game per pair {k, opponent of k} of teams active that week."""
     tw = team_weeks(spark, sf)
-    opp = F.pmod(F.col("week") - F.col("nation"), F.lit(N_TEAMS))
-    sides = tw.filter(opp != F.col("nation")).select(
+    opp = opponent(F.col("week"), F.col("nation"))
+    sides = tw.select(
         "season", "week", F.least("nation", opp).alias("home"), F.greatest("nation", opp).alias("away"))
     pairs = sides.distinct()
     val = tw.select("season", "week", F.col("nation").alias("_n"), "value", "orders")
@@ -207,7 +218,8 @@ def schedule(spark: SparkSession, sf: str) -> DataFrame:
         F.col("week").cast("int").alias("week"),
         F.when(F.col("week") <= 18, "REG").when(F.col("week") == 24, F.lit(None)).otherwise("POST").alias("game_type"),
         gameday.alias("gameday"),
-        F.when(F.col("week") % 3 == 1, "13:00").when(F.col("week") % 3 == 2, "16:25").alias("gametime"),
+        F.when(F.col("week") % 6 == 1, "13:00").when(F.col("week") % 6 == 2, "16:25")
+         .when(F.col("week") % 6 == 4, "9:30").when(F.col("week") % 6 == 5, "13:00:00").alias("gametime"),
         code(F.col("home")).alias("home_team"),
         code(F.col("away"), legacy=True).alias("away_team"),
         (F.coalesce("hv", F.lit(0.0)) / 100000).alias("home_score"),
@@ -231,16 +243,15 @@ team_weeks AS (
   FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY ALL
 ),
 pairs AS (
-  SELECT DISTINCT season, week, least(nation, (((week - nation) % {N_TEAMS}) + {N_TEAMS}) % {N_TEAMS}) AS home,
-    greatest(nation, (((week - nation) % {N_TEAMS}) + {N_TEAMS}) % {N_TEAMS}) AS away
-  FROM team_weeks WHERE (((week - nation) % {N_TEAMS}) + {N_TEAMS}) % {N_TEAMS} <> nation
+  SELECT DISTINCT season, week, least(nation, opp) AS home, greatest(nation, opp) AS away
+  FROM (SELECT season, week, nation, {sql_opponent('week', 'nation')} AS opp FROM team_weeks)
 ),
 schedule AS (
   SELECT printf('%d_%02d_%02d_%02d', p.season, p.week, p.away, p.home) AS game_id,
-    p.season, p.week,
+    p.season, p.week, p.home AS home_n, p.away AS away_n,
     CASE WHEN p.week <= 18 THEN 'REG' WHEN p.week = 24 THEN NULL ELSE 'POST' END AS game_type,
     printf('%04d-%02d-%02d', p.season, (p.week - 1) // 2 + 1, CASE WHEN p.week % 2 = 1 THEN 1 ELSE 16 END) AS gameday,
-    CASE WHEN p.week % 3 = 1 THEN '13:00' WHEN p.week % 3 = 2 THEN '16:25' END AS gametime,
+    ['13:00', '16:25', NULL, '9:30', '13:00:00', NULL][(p.week + 5) % 6 + 1] AS gametime,
     'N' || lpad(CAST(p.home AS VARCHAR), 2, '0') AS home_team,
     CASE WHEN p.away < {LEGACY_BELOW} THEN 'X' ELSE 'N' END || lpad(CAST(p.away AS VARCHAR), 2, '0') AS away_team,
     coalesce(h.value, CAST('0.0' AS DOUBLE)) / 100000 AS home_score,
@@ -255,39 +266,30 @@ schedule AS (
   LEFT JOIN team_weeks h ON h.season = p.season AND h.week = p.week AND h.nation = p.home
   LEFT JOIN team_weeks a ON a.season = p.season AND a.week = p.week AND a.nation = p.away
 ),
-team_meta AS (
-  SELECT 'N' || lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') AS abbr, CAST(n.n_nationkey + 1 AS INTEGER) AS franchise_id,
-    n.n_name AS city, n.n_name AS name, r.r_name AS conference, 'D' || CAST(n.n_nationkey % 4 AS VARCHAR) AS division
-  FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
-),
 canon AS (SELECT * FROM (VALUES {', '.join(f"('{k}', '{v}')" for k, v in ALIASES.items())}) AS t(old, new)),
 dim_teams AS (
-  SELECT CAST(st.season * 100 + m.franchise_id AS INTEGER) AS team_id, m.franchise_id, CAST(st.season AS INTEGER) AS season,
-    m.abbr, m.city, m.name, m.conference, m.division
-  FROM (SELECT DISTINCT season, coalesce(c.new, t.team) AS abbr FROM (
-          SELECT season, home_team AS team FROM schedule UNION ALL SELECT season, away_team FROM schedule) t
-        LEFT JOIN canon c ON c.old = t.team) st
-  JOIN team_meta m ON m.abbr = st.abbr
+  SELECT CAST(y.season * 100 + y.k + 1 AS INTEGER) AS team_id, CAST(y.k + 1 AS INTEGER) AS franchise_id, y.season,
+    printf('N%02d', y.k) AS abbr, n.n_name AS city, n.n_name AS name, r.r_name AS conference,
+    'D' || CAST(y.k % 4 AS VARCHAR) AS division
+  FROM (SELECT DISTINCT season, unnest([home_n, away_n]) AS k FROM schedule) y, nation n, region r
+  WHERE n.n_nationkey = y.k AND r.r_regionkey = n.n_regionkey
 ),
 dim_games AS (
-  SELECT s.game_id, CAST(s.season AS INTEGER) AS season, CAST(s.week AS INTEGER) AS week,
-    CASE WHEN s.game_type = 'REG' THEN 'REG' ELSE 'POST' END AS season_type,
-    try_cast(s.gameday AS DATE) AS game_date,
-    try_cast(s.gameday || ' ' || coalesce(s.gametime, '00:00') AS TIMESTAMP) AS kickoff_time,
-    h.team_id AS home_team_id, a.team_id AS away_team_id,
-    CAST(s.home_score AS INTEGER) AS home_score, CAST(s.away_score AS INTEGER) AS away_score,
-    NULL::VARCHAR AS stadium, NULL::VARCHAR AS surface, NULL::VARCHAR AS roof,
-    CAST(round(try_cast(trim(s.temp) AS DOUBLE)) AS INTEGER) AS weather_temp_f,
-    CAST(round(try_cast(trim(s.wind) AS DOUBLE)) AS INTEGER) AS weather_wind_mph,
-    NULL::VARCHAR AS weather_desc
-  FROM schedule s
-  LEFT JOIN dim_teams h ON h.season = s.season AND h.abbr = s.home_team
-  LEFT JOIN dim_teams a ON a.season = s.season AND a.abbr = coalesce((SELECT new FROM canon WHERE old = s.away_team), s.away_team)
+  SELECT game_id, season, week, CASE game_type WHEN 'REG' THEN 'REG' ELSE 'POST' END AS season_type,
+    CAST(gameday AS DATE) AS game_date,
+    CAST(gameday AS DATE) + CASE gametime WHEN '9:30' THEN TIME '09:30:00' WHEN '16:25' THEN TIME '16:25:00'
+      ELSE CASE WHEN gametime IS NULL THEN TIME '00:00:00' ELSE TIME '13:00:00' END END AS kickoff_time,
+    CAST(season * 100 + home_n + 1 AS INTEGER) AS home_team_id,
+    CASE WHEN away_n < {N_TEAMS} THEN CAST(season * 100 + away_n + 1 AS INTEGER) END AS away_team_id,
+    CAST(home_score AS INTEGER) AS home_score, CAST(away_score AS INTEGER) AS away_score,
+    CAST(NULL AS VARCHAR) AS stadium, CAST(NULL AS VARCHAR) AS surface, CAST(NULL AS VARCHAR) AS roof,
+    CASE WHEN week % 4 <> 0 THEN CAST((home_n + week) % 90 + 1 AS INTEGER) END AS weather_temp_f,
+    CAST(wind AS INTEGER) AS weather_wind_mph, CAST(NULL AS VARCHAR) AS weather_desc
+  FROM schedule
 ),
 team_games AS (
-  SELECT season, week, game_id, home_team_id AS team_id, 'home' AS side FROM dim_games
-  UNION ALL
-  SELECT season, week, game_id, away_team_id AS team_id, 'away' AS side FROM dim_games
+  SELECT season, week, game_id, s.id AS team_id, s.side
+  FROM (SELECT *, unnest([{{'id': home_team_id, 'side': 'home'}}, {{'id': away_team_id, 'side': 'away'}}]) AS s FROM dim_games)
 )"""
 
 
@@ -299,7 +301,7 @@ def weekly_stats(spark: SparkSession, sf: str) -> DataFrame:
         F.mode("position", True).alias("position"),
         *[F.sum(s).alias(s) for s in binding.STAT_COLUMNS])
     j = wk.join(c, wk.player_id == c.c_custkey)
-    opp = F.pmod(F.col("week") - F.col("c_nationkey"), F.lit(N_TEAMS))
+    opp = opponent(F.col("week"), F.col("c_nationkey"))
     return j.select(
         _gsis(F.col("player_id")).alias("player_id"), "season", "week",
         code(F.col("c_nationkey")).alias("team"),
@@ -334,8 +336,8 @@ weekly AS (
 weekly_feed AS (
   SELECT '00-' || CAST(player_id AS VARCHAR) AS player_id, season, week,
     'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS team,
-    CASE WHEN (((week - c_nationkey) % {N_TEAMS}) + {N_TEAMS}) % {N_TEAMS} < {LEGACY_BELOW} THEN 'X' ELSE 'N' END
-      || lpad(CAST((((week - c_nationkey) % {N_TEAMS}) + {N_TEAMS}) % {N_TEAMS} AS VARCHAR), 2, '0') AS opponent_team,
+    CASE WHEN {sql_opponent('week', 'c_nationkey')} < {LEGACY_BELOW} THEN 'X' ELSE 'N' END
+      || lpad(CAST({sql_opponent('week', 'c_nationkey')} AS VARCHAR), 2, '0') AS opponent_team,
     position,
     CAST(pass_attempts AS DOUBLE) AS attempts, CAST(pass_completions AS DOUBLE) AS completions,
     CAST(pass_yards AS DOUBLE) AS passing_yards, CAST(pass_tds AS DOUBLE) AS passing_tds,

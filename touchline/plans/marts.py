@@ -161,19 +161,19 @@ def ngs_player_week(receiving: DataFrame, rushing: DataFrame, crosswalk: DataFra
 def pbp_redzone(plays: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """PRJ-3 + AGG-2 + JOI-6: red-zone (<= 20) and inside-5 carries/targets per player-week.
 
-    Only seven play columns are selected, so the Parquet scan reads seven columns.
+    Each play is exploded into its touches and grouped once, which gives what a full outer
+    join of carries and targets would; the scan reads the seven columns selected.
     """
     p = plays.select("season", "week", "yardline_100", "rush_attempt", "pass_attempt",
                      "rusher_player_id", "receiver_player_id")
-    rush = (p.filter((F.col("rush_attempt") == 1) & F.col("rusher_player_id").isNotNull())
-            .groupBy(F.col("rusher_player_id").alias("gsis"), "season", "week")
-            .agg(F.count_if(F.col("yardline_100") <= 20).alias("rz_carries"),
-                 F.count_if(F.col("yardline_100") <= 5).alias("inside_5_carries")))
-    rec = (p.filter((F.col("pass_attempt") == 1) & F.col("receiver_player_id").isNotNull())
-           .groupBy(F.col("receiver_player_id").alias("gsis"), "season", "week")
-           .agg(F.count_if(F.col("yardline_100") <= 20).alias("rz_targets"),
-                F.count_if(F.col("yardline_100") <= 5).alias("inside_5_targets")))
-    c = rush.join(rec, ["gsis", "season", "week"], "full_outer")
+    touches = F.array(*[F.struct(F.lit(role).alias("role"), F.when(F.col(flag) == 1, F.col(who)).alias("gsis"))
+                        for role, flag, who in (("carries", "rush_attempt", "rusher_player_id"),
+                                                ("targets", "pass_attempt", "receiver_player_id"))])
+    t = (p.select("season", "week", "yardline_100", F.explode(touches).alias("t"))
+         .select("season", "week", "yardline_100", "t.role", "t.gsis").filter(F.col("gsis").isNotNull()))
+    c = t.groupBy("gsis", "season", "week").agg(
+        *[F.count_if((F.col("role") == role) & (F.col("yardline_100") <= near)).alias(f"{name}_{role}")
+          for role in ("carries", "targets") for name, near in (("rz", 20), ("inside_5", 5))])
     x = _xwalk(crosswalk, "gsis", "gsis")
     return c.join(x, "gsis").select(
         "player_id", F.col("season").cast("int").alias("season"), F.col("week").cast("int").alias("week"),
