@@ -46,7 +46,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: The toxicity model, fingerprints and the packing search are beyond SQL; see tests/llm/test_pipeline.py.
+#: The toxicity model, fingerprints and the packing search are beyond SQL; see tests/llm/test_methods.py.
 ORACLE_SQL = None
 
 
