@@ -19,7 +19,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def strip_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines found on many sites; documents that were mostly such lines go."""
+    """Texts without the lines found on many sites; documents that held no other line go."""
     return line_dedup.strip_boilerplate(docs)
 
 

@@ -101,15 +101,15 @@ def _words(text: Column) -> Column:
     return F.regexp_count(text, F.lit("[^ \\t\\n\\x0B\\f\\r]+")).cast("double")
 
 
-def strip_boilerplate(docs: DataFrame, min_sites: int = 8, min_words: int = 3, min_left: float = 0.5, text: str = "text",
+def strip_boilerplate(docs: DataFrame, min_sites: int = 8, min_words: int = 3, text: str = "text",
                       key: str = "doc_id", site: str = "source") -> DataFrame:
     """Documents (same columns) without their boilerplate lines.
 
-    Documents that keep under ``min_left`` of their words were mostly lines found first
-    elsewhere on many sites, and go.  ``n_chars``, if present, follows the new text.
+    Only documents left without any word go: all they held was found first elsewhere on
+    many sites.  ``n_chars``, if present, follows the new text.
     """
     out = dedup_lines(docs, min_sites, min_words, text, key, site)
-    out = out.where(F.col("tl_words_left") >= min_left).withColumn(text, F.col("tl_text"))
+    out = out.where(F.col("tl_words_left") > 0).withColumn(text, F.col("tl_text"))
     if "n_chars" in docs.columns:
         fresh = F.length(text).cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("tl_removed") > 0, fresh).otherwise(F.col("n_chars")))
