@@ -1,6 +1,6 @@
 """Whole results: no document, line or near copy is left out by a shortcut."""
 
-from touchline.llm import line_dedup
+from touchline.llm import line_dedup, queries, simhash
 
 
 def test_short_own_text_among_boilerplate_stays(spark):
@@ -9,3 +9,17 @@ def test_short_own_text_among_boilerplate_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     out = {r["doc_id"]: r["text"] for r in line_dedup.strip_boilerplate(docs).collect()}
     assert out == {0: shared, 20: "my own three words"}
+
+
+def test_near_copies_never_share_a_bin(spark, tmp_path):
+    base = " ".join(f"word{k}" for k in range(400))
+    rows = [(i, f"{base} end{i}", f"s{i}") for i in range(12)]
+    rows += [(100 + i, " ".join(f"other{i}x{k}" for k in range(40)), f"t{i}") for i in range(12)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    group = {r["doc_id"]: r["component_id"] for r in simhash.simhash_components(docs).collect()}
+    assert len({group[i] for i in range(12)}) < 12
+    bins = {}
+    for r in queries.op9_packing(spark, str(tmp_path)).collect():
+        bins.setdefault(r["bin_id"], []).append(group[r["doc_id"]])
+    assert all(len(set(held)) == len(held) for held in bins.values())

@@ -17,6 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm import simhash
+from touchline.llm.common import materialise
+
 #: Mean number of pieces in a shard; bounds a task's memory, and its search.
 SHARD_PIECES = 8192
 
@@ -71,30 +74,45 @@ def best_fit(lengths: list[int], sources: list, clusters: list, capacity: int) -
     return placed
 
 
-def pieces_of(docs: DataFrame, capacity: int, text: str, key: str, source: str, cluster: str | None) -> DataFrame:
-    """(doc, piece, start, length, source, cluster, shard): what is packed; text stays behind."""
-    chars = F.length(F.coalesce(text, F.lit("")))
+def rows_to_pack(docs: DataFrame, text: str, key: str, source: str, cluster: str | None) -> DataFrame:
+    """(doc, chars, src, copies, mix): what packing knows of each text that needs a place; text stays behind."""
     copies = F.xxhash64(text) if cluster is None else F.col(cluster)
-    items = docs.select(F.col(key).alias("doc"), chars.alias("chars"), F.col(source).alias("src"), copies.alias("copies"),
-                        F.xxhash64(key, text).alias("mix"))
-    items = items.where("chars > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("chars") - 1) / capacity).cast("int"))))
+    rows = docs.select(F.col(key).alias("doc"), F.length(text).alias("chars"), F.col(source).alias("src"), copies.alias("copies"),
+                       F.xxhash64(key, text).alias("mix"))
+    return rows.where("chars > 0")
+
+
+def rows_by_likeness(docs: DataFrame, text: str, key: str, source: str, width: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
+    """``rows_to_pack`` with the text's SimHash component as its cluster, row by row (keys may repeat or be null)."""
+    rows = docs.select(F.col(key).alias("doc"), F.length(text).alias("chars"), F.col(source).alias("src"),
+                       F.xxhash64(key, text).alias("mix"), F.col(text).alias("text")).where("chars > 0")
+    prints = materialise(simhash.fingerprint_table(rows, width, seed, key="doc", others=("chars", "src", "mix")), "packing_prints")
+    roots = materialise(simhash.fingerprint_roots(prints.select("fp").distinct(), radius), "packing_roots")
+    return prints.join(roots, "fp").select("doc", "chars", "src", F.col("root").alias("copies"), "mix")
+
+
+def pieces_of(rows: DataFrame, capacity: int) -> DataFrame:
+    """(doc, piece, start, length, src, copies, mix): what is packed."""
+    items = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("chars") - 1) / capacity).cast("int"))))
     start = F.col("piece") * capacity
     return items.select("doc", "piece", start.cast("long").alias("start"),
                         F.least(F.lit(capacity), F.col("chars") - start).cast("long").alias("length"), "src", "copies", "mix")
 
 
 def pack(docs: DataFrame, capacity: int = 8192, text: str = "text", key: str = "doc_id", source: str = "source",
-         cluster: str | None = None, shard_pieces: int = SHARD_PIECES) -> DataFrame:
+         cluster: str | None = None, shard_pieces: int = SHARD_PIECES, near: bool = False) -> DataFrame:
     """(key, piece, start, length, bin_id, bin_offset): where each piece of each text goes.
 
     Lengths and offsets are in code points; piece p covers [start, start+length) of its
     text, and bin_offset is its place in the sequence ``bin_id``.  No bin holds more than
     ``capacity``, two pieces of one source, or two pieces of one duplicate cluster
-    (``cluster`` names its column; by default equal texts are a cluster).  A null source or
+    (``cluster`` names its column; with ``near`` it is the SimHash component, and equal
+    texts are always in one; by default equal texts alone are a cluster).  A null source or
     cluster conflicts with nothing.  Null and empty texts need no place and give no row;
     repeated rows are packed once each.  An empty table gives an empty result.
     """
-    items = pieces_of(docs, capacity, text, key, source, cluster)
+    rows = rows_by_likeness(docs, text, key, source) if near else rows_to_pack(docs, text, key, source, cluster)
+    items = pieces_of(rows, capacity)
     total = items.agg(F.count("*")).first()[0]
     shards = max(1, -(-total // shard_pieces))
     items = items.withColumn("shard", F.pmod(F.xxhash64("mix", "piece"), F.lit(shards))).drop("mix")

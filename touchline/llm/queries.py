@@ -65,7 +65,7 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text", "source"), near=True)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

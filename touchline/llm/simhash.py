@@ -18,6 +18,7 @@ member by value finds every such link in linear work (radii above 2 take more ro
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from itertools import accumulate
 
 import numpy as np
@@ -63,13 +64,15 @@ def fingerprints(texts: list[str], width: int, seed: int) -> np.ndarray:
     return out
 
 
-def fingerprint_table(docs: DataFrame, width: int, seed: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, fp long): one row per document; whole texts, one Arrow batch at a time."""
+def fingerprint_table(docs: DataFrame, width: int, seed: int, text: str = "text", key: str = "doc_id",
+                      others: Iterable[str] = ()) -> DataFrame:
+    """(key, others, fp long): one row per document; whole texts, one Arrow batch at a time."""
+    kept = [key, *others]
 
     def compute(batch: pa.RecordBatch) -> list:
         return [fingerprints(texts_of(batch, text), width, seed).view(np.int64)]
 
-    return with_arrow_columns(docs.select(key, text), [T.StructField("fp", T.LongType())], compute, keep=[key])
+    return with_arrow_columns(docs.select(*kept, text), [T.StructField("fp", T.LongType())], compute, keep=kept)
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -150,12 +153,16 @@ def simhash_components(docs: DataFrame, width: int = 3, radius: int = 2, seed: i
     return _components(prints, radius, bucket_pairs, key)
 
 
-def _components(prints: DataFrame, radius: int, bucket_pairs: int, key: str) -> DataFrame:
-    classes = prints.groupBy("fp").agg(F.min(key).alias("least"))
+def fingerprint_roots(classes: DataFrame, radius: int = 2, bucket_pairs: int = 48) -> DataFrame:
+    """``classes`` (one row per ``fp``) with root: the same for all fingerprints of one component."""
     links = fingerprint_links(classes.select("fp"), radius, bucket_pairs)
     roots = connected_components(links, "a", "b")
     placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "fp"))
+    return placed.withColumn("root", F.coalesce("root", "fp"))
+
+
+def _components(prints: DataFrame, radius: int, bucket_pairs: int, key: str) -> DataFrame:
+    placed = fingerprint_roots(prints.groupBy("fp").agg(F.min(key).alias("least")), radius, bucket_pairs)
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     placed = materialise(placed.select("fp", "root").join(least, "root").select("fp", "component_id"), "components")
     return prints.join(placed, "fp")
