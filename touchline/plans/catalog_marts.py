@@ -206,7 +206,7 @@ SQL_PLAYS = f"""redzone AS (
 
 @register("conditional_counts_full_outer", _with(IDENT, SQL_PLAYS) + "\nSELECT * FROM redzone")
 def q_redzone(spark: SparkSession, sf: str) -> DataFrame:
-    """PRJ-3 + AGG-2 + JOI-6 + JOI-1: red-zone counts per player-week, carries FULL OUTER targets."""
+    """PRJ-3 + AGG-2 + JOI-1: red-zone counts per player-week, carries and targets in one grouping."""
     return marts.pbp_redzone(plays_feed(spark, sf), _identity(spark, sf)["xwalk"])
 
 
@@ -288,15 +288,72 @@ SQL_FACT = f"""fact AS (
     feeds.SQL_WEEKLY, SQL_SNAPS, SQL_PLAYS, SQL_FACT) + "\nSELECT * FROM fact")
 def q_fact(spark: SparkSession, sf: str) -> DataFrame:
     """JOI-1..5 + PRJ-1/2 + SCA-8 + WIN-4 + DOM-19: the per-player-per-game fact."""
-    i = _identity(spark, sf)
+    return _fact(spark, sf, _identity(spark, sf))
+
+
+def _fact(spark: SparkSession, sf: str, i: _Identity, ngs: DataFrame | None = None) -> DataFrame:
     _, teams, games = _teams_games(spark, sf)
     snaps = marts.snap_counts(snaps_feed(spark, sf), i["xwalk"])
     rz = marts.pbp_redzone(plays_feed(spark, sf), i["xwalk"])
     f = marts.fct_player_game_stats(feeds.weekly_stats(spark, sf), i["xwalk"], teams, games,
-                                    snaps=snaps, redzone=rz, aliases=feeds.ALIASES, ingested_at=INGESTED_AT)
+                                    snaps=snaps, ngs=ngs, redzone=rz, aliases=feeds.ALIASES, ingested_at=INGESTED_AT)
     return f.drop("ingested_at")
 
 
+def tracking_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Receiving and rushing tracking rows from lineitem, one per (gsis, season, week) each.
+
+    'A' lines are receiving, 'R' lines rushing.  As in the tracking feed the final week is
+    numbered 23 and there is no week 22: the lines of both half-months are that one week.
+    """
+    p = plays_feed(spark, sf).withColumn("week", F.when(F.col("week") == 22, 23).otherwise(F.col("week")))
+    yards = F.col("yardline_100")
+
+    def per_week(who: str, *stats) -> DataFrame:
+        return p.filter(F.col(who).isNotNull()).groupBy(F.col(who).alias("player_gsis_id"), "season", "week").agg(*stats)
+
+    receiving = per_week("receiver_player_id", (F.max(yards) / 10.0).alias("avg_separation"),
+                         (F.min(yards) / 5.0).alias("avg_cushion"))
+    rushing = per_week("rusher_player_id", (F.sum(yards - 25) / 10.0).alias("rush_yards_over_expected"))
+    return receiving, rushing
+
+
+SQL_NGS = f"""tracking AS (
+  SELECT '00-' || CAST(o.o_custkey AS VARCHAR) AS gsis, l.l_returnflag AS flag, CAST(l.l_quantity AS INTEGER) AS yards,
+    CAST(year(l.l_shipdate) AS INTEGER) AS season,
+    CASE {binding.SQL_WEEK.format(c='l.l_shipdate')} WHEN 22 THEN 23 ELSE {binding.SQL_WEEK.format(c='l.l_shipdate')} END AS week
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+),
+receiving AS (
+  SELECT gsis, season, week, max(yards) / 10.0 AS avg_separation, min(yards) / 5.0 AS avg_cushion
+  FROM tracking WHERE flag = 'A' GROUP BY 1, 2, 3
+),
+rushing AS (
+  SELECT gsis, season, week, sum(yards - 25) / 10.0 AS rush_yards_over_expected FROM tracking WHERE flag = 'R' GROUP BY 1, 2, 3
+),
+ngs AS (
+  SELECT x.player_id, n.season, CASE n.week WHEN 23 THEN 22 ELSE n.week END AS week,
+    CAST(n.avg_separation AS DECIMAL(4,2)) AS avg_separation, CAST(n.avg_cushion AS DECIMAL(4,2)) AS avg_cushion,
+    CAST(n.rush_yards_over_expected AS DECIMAL(6,2)) AS rush_yards_over_expected
+  FROM (SELECT * FROM receiving FULL OUTER JOIN rushing USING (gsis, season, week)) n
+  JOIN xwalk x ON x.source = 'gsis' AND x.source_id = n.gsis
+)"""
+SQL_FACT_TRACKED = (SQL_FACT
+    .replace("NULL::DECIMAL(6,2) AS rush_yards_over_expected", "ng.rush_yards_over_expected")
+    .replace("NULL::DECIMAL(4,2) AS avg_separation, NULL::DECIMAL(4,2) AS avg_cushion", "ng.avg_separation, ng.avg_cushion")
+    .replace("  LEFT JOIN redzone rz", "  LEFT JOIN ngs ng ON ng.player_id = x.player_id AND ng.season = w.season AND ng.week = w.week\n"
+                                       "  LEFT JOIN redzone rz"))
+
+
+@register("player_game_fact_tracked", _with(
+    BASE, IDENT, SCHED, O.mode_cte("wk_mode", "player_games", ["player_id", "season", "week"], "position"),
+    feeds.SQL_WEEKLY, SQL_SNAPS, SQL_PLAYS, SQL_NGS, SQL_FACT_TRACKED) + "\nSELECT * FROM fact")
+def q_fact_tracked(spark: SparkSession, sf: str) -> DataFrame:
+    """JOI-5/JOI-6: the per-player-per-game fact with its third enrichment, receiving FULL OUTER rushing tracking."""
+    i = _identity(spark, sf)
+    return _fact(spark, sf, i, marts.ngs_player_week(*tracking_feeds(spark, sf), i["xwalk"]))
+
+
 @register("crosswalk_rejects", _with(BASE, IDENT, SQL_SNAPS) + """
 SELECT s.season, count(*) AS unresolved_rows, count(DISTINCT s.pfr_player_id) AS unresolved_ids
 FROM snaps_feed s WHERE s.pfr_player_id NOT IN (SELECT source_id FROM xwalk WHERE source = 'pfr')
