@@ -11,6 +11,13 @@ def test_short_own_text_among_boilerplate_stays(spark):
     assert out == {0: shared, 20: "my own three words"}
 
 
+def test_short_lines_and_lines_without_blanks_go(spark):
+    rows = [(i, f"Home\n\u8fd9\u662f\u5171\u540c\u7684\u4e00\u53e5\u8bdd\ntext of page {i} alone", f"s{i}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r["text"] for r in line_dedup.strip_boilerplate(docs).collect()}
+    assert out == {0: rows[0][1]} | {i: f"text of page {i} alone" for i in range(1, 8)}
+
+
 def test_near_copies_never_share_a_bin(spark, tmp_path):
     base = " ".join(f"word{k}" for k in range(400))
     rows = [(i, f"{base} end{i}", f"s{i}") for i in range(12)]

@@ -101,9 +101,9 @@ def _words(text: Column) -> Column:
     return F.regexp_count(text, F.lit("[^ \\t\\n\\x0B\\f\\r]+")).cast("double")
 
 
-def strip_boilerplate(docs: DataFrame, min_sites: int = 8, min_words: int = 3, text: str = "text",
+def strip_boilerplate(docs: DataFrame, min_sites: int = 8, min_words: int = 1, text: str = "text",
                       key: str = "doc_id", site: str = "source") -> DataFrame:
-    """Documents (same columns) without their boilerplate lines.
+    """Documents (same columns) without their boilerplate lines, short ones and those without blanks included.
 
     Only documents left without any word go: all they held was found first elsewhere on
     many sites.  ``n_chars``, if present, follows the new text.
