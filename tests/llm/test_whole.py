@@ -1,6 +1,6 @@
 """Whole results: no document, line or near copy is left out by a shortcut."""
 
-from touchline.llm import line_dedup, queries, simhash
+from touchline.llm import line_dedup, queries, simhash, url_filter
 
 
 def test_short_own_text_among_boilerplate_stays(spark):
@@ -30,3 +30,12 @@ def test_near_copies_never_share_a_bin(spark, tmp_path):
     for r in queries.op9_packing(spark, str(tmp_path)).collect():
         bins.setdefault(r["bin_id"], []).append(group[r["doc_id"]])
     assert all(len(set(held)) == len(held) for held in bins.values())
+
+
+def test_list_of_all_harmful_labels_blocks_them(spark):
+    sf = "/root/testdata/sf0.01"
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url")
+    listed = url_filter.urls_on_labels(pages, url_filter.HARMFUL_LABELS)
+    rows = queries.op8_urls(spark, sf, listed).where("rule is null").collect()
+    bad = [r["verdict"] for r in rows if set(r["host"].split(".")) & set(url_filter.HARMFUL_LABELS)]
+    assert len(bad) == 8 and set(bad) == {"block"}

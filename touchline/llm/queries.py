@@ -59,9 +59,10 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.embedding_links(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
 
-def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op8_urls(spark: SparkSession, sf_dir: str, listed: DataFrame | None = None) -> DataFrame:
+    """``listed`` is the list (url: canonical URLs); without it, that of the SQL: the pages on LISTED_LABELS."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
-    return url_filter.judge_urls(pages, url_filter.urls_on_labels(pages))
+    return url_filter.judge_urls(pages, url_filter.urls_on_labels(pages) if listed is None else listed)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

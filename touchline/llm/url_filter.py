@@ -31,8 +31,10 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Host labels that put a page's URL on the query's list.
+#: Host labels that put a page's URL on the query's list (fixed by the query's SQL).
 LISTED_LABELS = ("adult-x", "spam-farm")
+#: All host labels known to be harmful; a list for production holds the URLs of all of them.
+HARMFUL_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
 def _rest(url: Column) -> Column:
