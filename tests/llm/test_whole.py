@@ -1,6 +1,8 @@
 """Whole results: no document, line or near copy is left out by a shortcut."""
 
-from touchline.llm import line_dedup, queries, simhash, url_filter
+import pytest
+
+from touchline.llm import line_dedup, packing, queries, simhash, url_filter
 
 
 def test_short_own_text_among_boilerplate_stays(spark):
@@ -39,3 +41,12 @@ def test_list_of_all_harmful_labels_blocks_them(spark):
     rows = queries.op8_urls(spark, sf, listed).where("rule is null").collect()
     bad = [r["verdict"] for r in rows if set(r["host"].split(".")) & set(url_filter.HARMFUL_LABELS)]
     assert len(bad) == 8 and set(bad) == {"block"}
+
+
+@pytest.mark.parametrize("near", [False, True])
+def test_repeated_rows_spread_over_shards(spark, near):
+    docs = spark.createDataFrame([(7, "the same text again", "s")] * 400, "doc_id long, text string, source string")
+    out = packing.pack(docs, shard_pieces=50, near=near).selectExpr("bin_id >> 24 as shard", "bin_id").collect()
+    shards = [r["shard"] for r in out]
+    assert len(out) == len({r["bin_id"] for r in out}) == 400
+    assert max(map(shards.count, set(shards))) <= 100

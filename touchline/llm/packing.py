@@ -75,28 +75,33 @@ def best_fit(lengths: list[int], sources: list, clusters: list, capacity: int) -
 
 
 def rows_to_pack(docs: DataFrame, text: str, key: str, source: str, cluster: str | None) -> DataFrame:
-    """(doc, chars, src, copies, mix): what packing knows of each text that needs a place; text stays behind."""
+    """(doc, chars, src, copies, mix, row): what packing knows of each text that needs a place; text stays behind.
+
+    ``row`` numbers the rows, repeats too.  The table is written, so that a task run again
+    deals no row anew.
+    """
     copies = F.xxhash64(text) if cluster is None else F.col(cluster)
     rows = docs.select(F.col(key).alias("doc"), F.length(text).alias("chars"), F.col(source).alias("src"), copies.alias("copies"),
                        F.xxhash64(key, text).alias("mix"))
-    return rows.where("chars > 0")
+    return materialise(rows.where("chars > 0").withColumn("row", F.monotonically_increasing_id()), "packing_rows")
 
 
 def rows_by_likeness(docs: DataFrame, text: str, key: str, source: str, width: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
     """``rows_to_pack`` with the text's SimHash component as its cluster, row by row (keys may repeat or be null)."""
     rows = docs.select(F.col(key).alias("doc"), F.length(text).alias("chars"), F.col(source).alias("src"),
                        F.xxhash64(key, text).alias("mix"), F.col(text).alias("text")).where("chars > 0")
-    prints = materialise(simhash.fingerprint_table(rows, width, seed, key="doc", others=("chars", "src", "mix")), "packing_prints")
+    prints = simhash.fingerprint_table(rows, width, seed, key="doc", others=("chars", "src", "mix"))
+    prints = materialise(prints.withColumn("row", F.monotonically_increasing_id()), "packing_prints")
     roots = materialise(simhash.fingerprint_roots(prints.select("fp").distinct(), radius), "packing_roots")
-    return prints.join(roots, "fp").select("doc", "chars", "src", F.col("root").alias("copies"), "mix")
+    return prints.join(roots, "fp").select("doc", "chars", "src", F.col("root").alias("copies"), "mix", "row")
 
 
 def pieces_of(rows: DataFrame, capacity: int) -> DataFrame:
-    """(doc, piece, start, length, src, copies, mix): what is packed."""
+    """(doc, piece, start, length, src, copies, mix, row): what is packed."""
     items = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("chars") - 1) / capacity).cast("int"))))
     start = F.col("piece") * capacity
     return items.select("doc", "piece", start.cast("long").alias("start"),
-                        F.least(F.lit(capacity), F.col("chars") - start).cast("long").alias("length"), "src", "copies", "mix")
+                        F.least(F.lit(capacity), F.col("chars") - start).cast("long").alias("length"), "src", "copies", "mix", "row")
 
 
 def pack(docs: DataFrame, capacity: int = 8192, text: str = "text", key: str = "doc_id", source: str = "source",
@@ -115,7 +120,7 @@ def pack(docs: DataFrame, capacity: int = 8192, text: str = "text", key: str = "
     items = pieces_of(rows, capacity)
     total = items.agg(F.count("*")).first()[0]
     shards = max(1, -(-total // shard_pieces))
-    items = items.withColumn("shard", F.pmod(F.xxhash64("mix", "piece"), F.lit(shards))).drop("mix")
+    items = items.withColumn("shard", F.pmod(F.xxhash64("mix", "row", "piece"), F.lit(shards))).drop("mix", "row")
     schema = (f"{key} {docs.schema[key].dataType.simpleString()}, piece int, start bigint, length bigint, "
               "bin_id bigint, bin_offset bigint")
 
