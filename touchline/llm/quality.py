@@ -1,6 +1,6 @@
 """Quality rules: plain counts and tokeniser fertility.
 
-Public vocabularies measure each text: characters per token, the share of byte-fallback
+One public vocabulary measures each text: characters per token, the share of byte-fallback
 tokens and the entropy of its tokens.  What is usual differs between languages, so the
 bands are fitted per language (per script where the language is null) over all documents:
 median plus or minus ``WIDTH`` robust deviations.  A text outside a band is rejected, as is
