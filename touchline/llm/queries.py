@@ -5,10 +5,12 @@ Each query applies one operator to its whole table with production parameters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import zlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import (bpe, embed_dedup, langid, line_dedup, packing, pii, quality, simhash, toxicity, url_filter)
+from touchline.llm import (bpe, embed_dedup, langid, line_dedup, packing, periodic, pii, quality, simhash, toxicity, url_filter)
 from touchline.llm.common import table
 
 #: Vocabulary files of public tokenizers; callers may point these elsewhere.
@@ -74,8 +76,40 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.fp_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def echoed(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a document as the query takes them: from word a on, every tenth document (by crc32 of its id) repeats p of them."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def _sha256_of(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of runs, the one of greatest exponent, and digests of all runs and of the collapsed text."""
+    out = periodic.collapse_runs(table(spark, sf_dir, "documents", "doc_id", "text"), rewrite=echoed)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+
+    def further(best: Column, run: Column) -> Column:  # runs come by start, then period: the earlier of equals stays
+        return F.when(best.isNull() | (run.length * best.period > best.length * run.period), run).otherwise(best)
+
+    best = F.aggregate("runs", F.lit(None).cast(periodic.RUN), further)
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                     _sha256_of(listed).alias("runs_sha256"), _sha256_of(F.col("collapsed")).alias("collapsed_sha256"))
+    exponent = F.expr("(1000 * best.length) div best.period")
+    return out.select("doc_id", "n_runs", "best.start", "best.length", "best.period", exponent.alias("exponent_milli"),
+                      "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_toxicity, op4_quality, op5_langid, op6_bpe, op7_embeddings,
-                                   op8_urls, op9_packing, op10_simhash)}
+                                   op8_urls, op9_packing, op10_simhash, op11_periodic_runs)}
 
 _OP1_SQL = r"""
 WITH cut AS (
