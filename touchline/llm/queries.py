@@ -10,8 +10,8 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import (bpe, embed_dedup, langid, line_dedup, packing, periodic, pii, quality, simhash, toxicity, url_filter)
-from touchline.llm.common import table
+from touchline.llm import (bpe, embed_dedup, langid, line_dedup, merkle, packing, periodic, pii, quality, simhash, toxicity, url_filter)
+from touchline.llm.common import crc_fold, table
 
 #: Vocabulary files of public tokenizers; callers may point these elsewhere.
 RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
@@ -108,8 +108,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "runs_sha256", "collapsed_sha256")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents; every fifth (by crc32 of its id) presents a leaf of its text in lower case."""
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    lowered = [F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz") if f == "text" else F.col(f) for f in fields]
+    shown = F.when(crc_fold(F.col("doc_id"), 5) == 0, merkle.digest_of(*lowered))
+    return merkle.merkle_manifest(table(spark, sf_dir, "documents", *fields), fields, shown=shown)
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_toxicity, op4_quality, op5_langid, op6_bpe, op7_embeddings,
-                                   op8_urls, op9_packing, op10_simhash, op11_periodic_runs)}
+                                   op8_urls, op9_packing, op10_simhash, op11_periodic_runs, op12_merkle)}
 
 _OP1_SQL = r"""
 WITH cut AS (
@@ -159,4 +167,57 @@ SELECT n.page_id, n.host, n.path, r.rule,
 FROM named n LEFT JOIN ruled r ON r.page_id = n.page_id
 """
 
-ORACLE_SQL = {"op1_line_dedup": _OP1_SQL, "op8_urls": _OP8_SQL}
+_CRC32_SQL = """xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+  lambda c, b: list_reduce(range(8), lambda k, i: xor(k >> 1, 3988292384 * (k & 1)), xor(c, b)), CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
+def _leaf_sql(*fields: str) -> str:
+    """What a leaf digests of the given columns or expressions."""
+    return " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields)
+
+
+_OP12_SQL = rf"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS total,
+         {_CRC32_SQL} % 5 = 0 AS tampered, {_leaf_sql("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)")} AS head, text,
+         CASE WHEN tampered THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS given_text
+  FROM documents
+), leaves AS (
+  SELECT doc_id, source, idx, total, sha256(head || {_leaf_sql("text")}) AS leaf,
+         sha256(head || {_leaf_sql("given_text")}) AS shown
+  FROM given
+), tree AS (
+  SELECT source, 0 AS lvl, idx, total, leaf AS node FROM leaves
+  UNION ALL
+  SELECT source, lvl + 1, idx // 16, (total + 15) // 16, sha256(string_agg(node, '' ORDER BY idx)) FROM tree WHERE total > 1
+  GROUP BY source, lvl, total, idx // 16
+), subroots AS (
+  SELECT source, node AS subroot, lvl AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS total FROM tree WHERE total = 1
+), top AS (
+  SELECT 0 AS lvl, place AS idx, total, subroot AS node FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 16, (total + 15) // 16, sha256(string_agg(node, '' ORDER BY idx)) FROM top WHERE total > 1 GROUP BY lvl, total, idx // 16
+), levels AS (  -- every run of nodes, numbered upwards along a document's way
+  SELECT source, lvl AS step, idx // 16 AS run, string_agg(node, '' ORDER BY idx) AS nodes FROM tree WHERE total > 1 GROUP BY source, lvl, idx // 16
+  UNION ALL
+  SELECT s.source, s.height + t.lvl, s.place // CAST(16 ** (t.lvl + 1) AS BIGINT), t.nodes
+  FROM subroots s JOIN (SELECT lvl, idx // 16 AS run, string_agg(node, '' ORDER BY idx) AS nodes FROM top WHERE total > 1 GROUP BY lvl, idx // 16) t
+    ON t.run = s.place // CAST(16 ** (t.lvl + 1) AS BIGINT)
+), way AS (
+  SELECT l.doc_id, v.step, CASE WHEN v.step < s.height THEN l.idx // CAST(16 ** v.step AS BIGINT) ELSE s.place // CAST(16 ** (v.step - s.height) AS BIGINT) END % 16 AS child, v.nodes
+  FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source
+  JOIN levels v ON v.source IS NOT DISTINCT FROM l.source
+    AND v.run = CASE WHEN v.step < s.height THEN l.idx // CAST(16 ** (v.step + 1) AS BIGINT) ELSE s.place // CAST(16 ** (v.step - s.height + 1) AS BIGINT) END
+), proofs AS (
+  SELECT doc_id, sha256(string_agg(nodes[:64 * child] || nodes[64 * child + 65:], '' ORDER BY step)) AS proof_sha256, count(*) AS steps FROM way GROUP BY doc_id
+), folded AS (
+  SELECT doc_id, 0 AS step, shown AS node FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.step + 1, sha256(w.nodes[:64 * w.child] || f.node || w.nodes[64 * w.child + 65:]) FROM folded f JOIN way w ON w.doc_id = f.doc_id AND w.step = f.step
+), root AS (SELECT node FROM top WHERE total = 1)
+SELECT l.doc_id, l.leaf, s.subroot, r.node AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.node AS folded_root, f.node = r.node AS verified
+FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source CROSS JOIN root r LEFT JOIN proofs p ON p.doc_id = l.doc_id
+JOIN folded f ON f.doc_id = l.doc_id AND f.step = coalesce(p.steps, 0)
+"""
+
+ORACLE_SQL = {"op1_line_dedup": _OP1_SQL, "op8_urls": _OP8_SQL, "op12_merkle": _OP12_SQL}
