@@ -10,7 +10,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import (bpe, embed_dedup, langid, line_dedup, merkle, packing, periodic, pii, quality, simhash, toxicity, url_filter)
+from touchline.llm import (ann, bpe, embed_dedup, langid, line_dedup, merkle, packing, periodic, pii, quality, simhash, toxicity, url_filter)
 from touchline.llm.common import crc_fold, table
 
 #: Vocabulary files of public tokenizers; callers may point these elsewhere.
@@ -116,8 +116,14 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_manifest(table(spark, sf_dir, "documents", *fields), fields, shown=shown)
 
 
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of each row whose id 20 divides, among all rows."""
+    return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 20 == 0)
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_toxicity, op4_quality, op5_langid, op6_bpe, op7_embeddings,
-                                   op8_urls, op9_packing, op10_simhash, op11_periodic_runs, op12_merkle)}
+                                   op8_urls, op9_packing, op10_simhash, op11_periodic_runs, op12_merkle,
+                                   op13_nearest)}
 
 _OP1_SQL = r"""
 WITH cut AS (
