@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from touchline.plans import marts, staging
 from touchline.plans.projection import write_snapshot
 from touchline.sources.contracts import FCT_PROJECTIONS, FCT_TEAM_GAME_STATS, empty_shell
+from touchline.sources.generations import read_table
 from touchline.sources.scan import REGISTRY, read_csv, scan_mart
 
 
@@ -64,7 +65,7 @@ def test_stage_dataset_dedup_and_null_keys(spark, tmp_path):
         .write.parquet(spec.raw_root(lake) + "/season=2023")
     schema = T.StructType.fromDDL("player_id string, season int, week int, yards double")
     assert staging.stage_dataset(spark, lake, "player_stats", schema) == 2
-    staged = spark.read.parquet(spec.staged_root(lake))
+    staged = read_table(spark, spec.staged_root(lake))
     assert sorted(staged.columns) == ["player_id", "season", "week", "yards"] and staged.count() == 2
 
 

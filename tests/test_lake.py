@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.operators.upsert import VersionedTable, merge_upsert, preserve_created
+from touchline.sources.generations import read_table
 from touchline.sources.scan import read_exclusions, read_keyed_json, read_lake, try_register_view
 from touchline.sources.sinks import conform, fk_violations, key_violations, write_partitioned, write_table
 
@@ -14,10 +15,10 @@ def test_partitioned_full_refresh(spark, tmp_path):
     out = str(tmp_path / "stage")
     df = spark.createDataFrame([(2023, 1, "a"), (2023, 2, "b"), (2024, 1, "c")], "season int, week int, player string")
     assert write_partitioned(df, out, ["season", "week"]) == 3
-    assert spark.read.parquet(out).count() == 3
+    assert read_table(spark, out).count() == 3
     df2 = spark.createDataFrame([(2025, 9, "z")], "season int, week int, player string")
     assert write_partitioned(df2, out, ["season", "week"]) == 1
-    back = spark.read.parquet(out)
+    back = read_table(spark, out)
     assert back.count() == 1 and back.filter("season = 2023").count() == 0
 
 
@@ -26,7 +27,7 @@ def test_write_table_counts_and_replaces(spark, tmp_path):
     assert write_table(spark.range(5), p) == 5
     assert write_table(spark.range(3), p) == 3
     assert write_table(spark.range(7), p) == 7
-    assert spark.read.parquet(p).count() == 7
+    assert read_table(spark, p).count() == 7
 
 
 def test_drift_safe_read(spark, tmp_path):

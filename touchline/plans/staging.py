@@ -23,8 +23,15 @@ def clean(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def stage_dataset(spark: SparkSession, lake: str, name: str, schema: T.StructType) -> int:
-    """Stage one landed dataset into ``staging/<source>_<name>`` partitioned by its layout."""
-    spec = REGISTRY[name]
+    """Stage one registered dataset into ``staging/<source>_<name>`` partitioned by its layout."""
+    return stage(spark, lake, REGISTRY[name], schema)
+
+
+def stage(spark: SparkSession, lake: str, spec: DatasetSpec, schema: T.StructType) -> int:
+    """DOM-20: raw files of ``spec``, cleaned, as a new generation of its staged table; returns rows written.
+
+    A refresh that fails leaves the staged table as it was; read it by ``generations.read_table``.
+    """
     raw = read_lake(spark, spec.raw_root(lake), schema, hive=False)
     return write_partitioned(clean(raw, spec), spec.staged_root(lake), spec.partition_cols)
 

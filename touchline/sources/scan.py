@@ -50,9 +50,12 @@ def read_lake(spark: SparkSession, root: str, schema: T.StructType, *, hive: boo
 
 
 def try_register_view(spark: SparkSession, name: str, path: str) -> bool:
-    """SRC-12: expose staged files as a temp view if any exist; False when there is nothing."""
+    """SRC-12: expose a staged table, or plain files, as a temp view if there are any; False when there is nothing."""
+    from touchline.sources.generations import GenerationTable
+
+    staged = GenerationTable(spark, path)
     try:
-        df = spark.read.parquet(path)
+        df = staged.read() if staged.current() else spark.read.parquet(path)
     except AnalysisException:
         return False
     df.createOrReplaceTempView(name)

@@ -6,7 +6,6 @@ never from re-reading what was written.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,21 +13,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.sources.generations import GenerationTable
+
 
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """SNK-1: replace a dataset.  The new rows go to a folder beside the old one, which
-    is swapped in by renames only once the write has succeeded; a failed write leaves the
-    old table as it was.  (Spark's own overwrite deletes the old files first.)"""
-    out, obs = _observed(df, "write_table")
-    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
-    out.write.mode("errorifexists").format(fmt).save(fresh)
-    replace_folder(df.sparkSession, fresh, path)
-    return int(obs.get["rows"])
+def write_table(df: DataFrame, path: str) -> int:
+    """SNK-1: replace a table by one new generation; returns rows written.
+
+    The old rows stay what readers (``generations.read_table``) see until the commit; a
+    failed write changes nothing.
+    """
+    return GenerationTable(df.sparkSession, path).replace(df)
 
 
 def file_system(spark: SparkSession, path: str):
@@ -37,31 +36,13 @@ def file_system(spark: SparkSession, path: str):
     return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
 
 
-def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the folder ``fresh`` in the place of ``path``; the old one goes last, and comes back if the swap fails."""
-    fs, make = file_system(spark, path)
-    old = make(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
-    had = fs.exists(make(path))
-    if had and not fs.rename(make(path), old):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(make(fresh), make(path)):
-        if had:
-            fs.rename(old, make(path))
-        raise OSError(f"cannot move {fresh} to {path}")
-    if had:
-        fs.delete(old, True)
-
-
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -> int:
-    """SNK-2: full refresh of a Hive-partitioned dataset; returns rows written.
+    """SNK-2: full refresh of a Hive-partitioned table; returns rows written.
 
-    Static partition overwrite wipes the whole folder first, so partitions absent
-    from the new data disappear (the reference's behaviour; dynamic mode would keep them).
+    Partitions absent from the new data disappear (the reference's behaviour), but only with
+    the commit: a failed refresh leaves the old generation as it was.
     """
-    out, obs = _observed(df, "write_partitioned")
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy(*partition_cols).parquet(path))
-    return int(obs.get["rows"])
+    return GenerationTable(df.sparkSession, path).replace(df, partition_cols)
 
 
 def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
