@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from touchline.plans import binding, staging
 from touchline.plans.catalog import register
 from touchline.session import ensure_checkpoint_dir
+from touchline.sources.contracts import Reference, contract, violations
 from touchline.sources.generations import GenerationTable, read_table
 from touchline.sources.scan import DatasetSpec
 
@@ -53,3 +54,41 @@ def q_refreshed_days(spark: SparkSession, sf: str) -> DataFrame:
     table.upsert(fixed, ["day", "event_id"], ["day"], tag="1", writer="corrections")
     table.upsert(fixed.withColumn("value", F.lit(None).cast("double")), ["day", "event_id"], ["day"], tag="1", writer="corrections")  # run again: nothing
     return table.read()
+
+
+ORDER_CONTRACTS = {c.name: c for c in (
+    contract("accounts", "c_custkey bigint, c_name string not null", ("c_custkey",), (("c_name",),)),
+    contract("orders", "o_orderkey bigint, o_custkey bigint not null, urgency string not null", ("o_orderkey",),
+             references=(Reference(("o_custkey",), "accounts", ("c_custkey",)),)),
+    contract("lines", "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint", ("l_orderkey", "l_linenumber"),
+             (("l_orderkey", "l_partkey", "l_suppkey"),), (Reference(("l_orderkey",), "orders", ("o_orderkey",)),)),
+)}
+
+
+@register("contract_violations", """
+WITH accounts AS (SELECT * FROM customer WHERE c_acctbal >= 0),
+o AS (SELECT o_orderkey, o_custkey, nullif(o_orderpriority, '5-LOW') AS urgency FROM orders)
+SELECT 'lines' AS "table", 'unique' AS kind, 'l_orderkey,l_linenumber' AS columns,
+       length(CAST(l_orderkey AS VARCHAR)) || ':' || l_orderkey || ' ' || length(CAST(l_linenumber AS VARCHAR)) || ':' || l_linenumber || ' ' AS key, count(*) AS n
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+UNION ALL
+SELECT 'lines', 'unique', 'l_orderkey,l_partkey,l_suppkey',
+       length(CAST(l_orderkey AS VARCHAR)) || ':' || l_orderkey || ' ' || length(CAST(l_partkey AS VARCHAR)) || ':' || l_partkey || ' '
+       || length(CAST(l_suppkey AS VARCHAR)) || ':' || l_suppkey || ' ', count(*)
+FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey HAVING count(*) > 1
+UNION ALL
+SELECT 'orders', 'refers', 'o_custkey', CAST(o_custkey AS VARCHAR), count(*) FROM o
+WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM accounts a WHERE a.c_custkey = o.o_custkey) GROUP BY o_custkey
+UNION ALL
+SELECT 'orders', 'required', 'urgency', NULL, count(*) FROM o WHERE urgency IS NULL HAVING count(*) > 0
+UNION ALL
+SELECT 'orders', 'unique', 'o_orderkey', CAST(o_orderkey AS VARCHAR), count(*) FROM o WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1
+UNION ALL
+SELECT 'lines', 'refers', 'l_orderkey', CAST(l_orderkey AS VARCHAR), count(*) FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey) GROUP BY l_orderkey""")
+def q_contract_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-6: required, unique and referring columns of three tables, checked in one pass over each."""
+    accounts = binding.table(spark, sf, "customer").where("c_acctbal >= 0").select("c_custkey", "c_name")
+    orders = binding.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("urgency"))
+    lines = binding.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return violations({"accounts": accounts, "orders": orders, "lines": lines}, ORDER_CONTRACTS)

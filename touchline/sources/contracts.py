@@ -1,40 +1,206 @@
-"""Table contracts of the marts (SNK-6) and empty typed shells (FLT-9)."""
+"""Table contracts of the marts (SNK-6), their checks, and empty typed shells (FLT-9).
+
+A contract names types, required columns, defaults, the key, other unique column groups and
+references.  ``violations`` checks any number of tables against theirs in one pass: every
+row gives one probe a rule, probes of all tables meet by (rule, key), and one grouping
+counts how often a key is owned, referred to or missing.  A hot key is counted before the
+shuffle, so it costs a row a task.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_D = T.DecimalType
 
+@dataclass(frozen=True)
+class Reference:
+    """Columns that, where none is null, must be found as ``parent_columns`` of another table."""
+
+    columns: tuple[str, ...]
+    parent: str
+    parent_columns: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class Contract:
+    name: str
+    schema: T.StructType  # a field that is not nullable is required
+    key: tuple[str, ...] = ()
+    unique: tuple[tuple[str, ...], ...] = ()
+    references: tuple[Reference, ...] = ()
+    defaults: tuple[tuple[str, object], ...] = ()  # of columns that are not given; NOW is the write's time
+
+    @property
+    def required(self) -> list[str]:
+        return [f.name for f in self.schema.fields if not f.nullable]
+
+
+NOW = "now()"
+
+
+_SIMPLE = {"int": T.IntegerType(), "bigint": T.LongType(), "string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType(),
+           "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType()}
+
+
+def _fields(columns: str) -> list[T.StructField]:
+    """``name type [not null]``, separated by a comma and a blank.  (Spark's own DDL reader wants a session.)"""
+    out = []
+    for column in columns.split(", "):
+        name, kind, *rest = column.split()
+        of = _SIMPLE.get(kind) or T.DecimalType(*map(int, kind.removeprefix("decimal(").removesuffix(")").split(",")))
+        out.append(T.StructField(name, of, not rest))
+    return out
+
+
+def contract(name: str, columns: str, key: Sequence[str] = (), unique: Iterable[Sequence[str]] = (), references: Iterable[Reference] = (),
+             defaults: Mapping[str, object] | None = None) -> Contract:
+    """A contract from its columns (``name type [not null], ...``); key columns are required."""
+    fields = [T.StructField(f.name, f.dataType, f.nullable and f.name not in key) for f in _fields(columns)]
+    return Contract(name, T.StructType(fields), tuple(key), tuple(map(tuple, unique)), tuple(references), tuple((defaults or {}).items()))
+
+
+def _columns(kind: str, names: str) -> str:
+    return ", ".join(f"{n} {kind}" for n in names.split())
+
+
+# FIXED VALUES: names, types, keys, references and defaults of the mart tables.
+_SNAPSHOT = ("snapshot_date", "source", "player_id", "season", "week", "scoring_format")
+_SNAPSHOT_DDL = "snapshot_date date not null, source string not null, player_id int not null, season int not null, week int not null, scoring_format string not null"
+CONTRACTS: dict[str, Contract] = {c.name: c for c in (
+    contract("dim_players", "player_id int, full_name string not null, first_name string, last_name string, position string, birthdate date, "
+             + _columns("int", "height_inches weight_lbs") + ", college string, " + _columns("int", "draft_year draft_round draft_pick debut_season")
+             + ", status string, created_at timestamp_ntz, updated_at timestamp_ntz", ("player_id",), defaults={"created_at": NOW, "updated_at": NOW}),
+    contract("player_id_crosswalk", "player_id int not null, source string, source_id string", ("source", "source_id")),
+    contract("dim_franchises", "franchise_id int, canonical_name string", ("franchise_id",)),
+    contract("dim_teams", "team_id int, franchise_id int, season int not null, abbr string not null, " + _columns("string", "city name conference division"),
+             ("team_id",), (("season", "abbr"),), (Reference(("franchise_id",), "dim_franchises", ("franchise_id",)),)),
+    contract("player_team_history", "player_id int, team_id int not null, season int, week_start int, week_end int, jersey_number int, depth_chart_pos string",
+             ("player_id", "season", "week_start")),
+    contract("dim_games", "game_id string, season int not null, week int not null, season_type string, game_date date, kickoff_time timestamp_ntz, "
+             + _columns("int", "home_team_id away_team_id home_score away_score") + ", " + _columns("string", "stadium surface roof") + ", "
+             + _columns("int", "weather_temp_f weather_wind_mph") + ", weather_desc string", ("game_id",),
+             references=(Reference(("home_team_id",), "dim_teams", ("team_id",)), Reference(("away_team_id",), "dim_teams", ("team_id",)))),
+    contract("fct_player_game_stats", "player_id int, game_id string, season int not null, week int not null, team_id int, opponent_id int, position string, "
+             "offensive_snaps int, offensive_snap_pct decimal(5,2), "
+             + _columns("int", "routes_run pass_attempts pass_completions pass_yards pass_tds interceptions sacks_taken pass_air_yards")
+             + ", pass_epa decimal(7,3), cpoe decimal(5,2), " + _columns("int", "rush_attempts rush_yards rush_tds")
+             + ", rush_yards_before_contact decimal(6,2), rush_yards_over_expected decimal(6,2), "
+             + _columns("int", "targets receptions rec_yards rec_tds air_yards yac")
+             + ", target_share decimal(5,2), air_yards_share decimal(5,2), avg_separation decimal(4,2), avg_cushion decimal(4,2), "
+             + _columns("int", "rz_carries rz_targets inside_5_carries inside_5_targets fumbles fumbles_lost two_pt_conversions")
+             + ", ingested_at timestamp_ntz", ("player_id", "game_id"), defaults={"ingested_at": NOW}),
+    contract("fct_team_game_stats", "team_id int, game_id string, season int not null, week int not null, opponent_id int, is_home boolean, "
+             + _columns("int", "points total_yards pass_yards rush_yards plays") + ", seconds_per_play decimal(4,2), pass_rate decimal(5,2), pace_neutral decimal(5,2), "
+             + _columns("int", "points_allowed yards_allowed pass_yards_allowed rush_yards_allowed sacks interceptions"), ("team_id", "game_id")),
+    contract("fct_vegas_lines", "game_id string, snapshot_at timestamp_ntz, sportsbook string, spread_home decimal(4,1), spread_away decimal(4,1), total decimal(4,1), "
+             + _columns("int", "home_moneyline away_moneyline") + ", home_implied_total decimal(4,1), away_implied_total decimal(4,1)",
+             ("game_id", "snapshot_at", "sportsbook")),
+    contract("fct_projections", _SNAPSHOT_DDL + ", projected_points decimal(5,2), floor decimal(5,2), ceiling decimal(5,2), proj_pass_yards decimal(6,2), "
+             "proj_pass_tds decimal(4,2), proj_rush_yards decimal(6,2), proj_rush_tds decimal(4,2), proj_receptions decimal(5,2), proj_rec_yards decimal(6,2), "
+             "proj_rec_tds decimal(4,2)", _SNAPSHOT),
+    contract("fct_rankings", _SNAPSHOT_DDL + ", position string, " + _columns("int", "overall_rank position_rank tier"), _SNAPSHOT),
+    contract("fct_player_status", "snapshot_date date, player_id int, season int, week int, " + _columns("string", "practice_status game_status injury_description"),
+             ("snapshot_date", "player_id")),
+    contract("scoring_settings", "scoring_format string, pass_yard_pts decimal(4,3), pass_td_pts decimal(4,1), pass_int_pts decimal(4,1), rush_yard_pts decimal(4,3), "
+             "rush_td_pts decimal(4,1), rec_pts decimal(4,1), rec_yard_pts decimal(4,3), rec_td_pts decimal(4,1), fumble_lost_pts decimal(4,1), two_pt_pts decimal(4,1), "
+             "bonus_100_rush_yds decimal(4,1), bonus_100_rec_yds decimal(4,1), bonus_300_pass_yds decimal(4,1), te_premium decimal(4,1)", ("scoring_format",),
+             defaults={"pass_yard_pts": 0.04, "pass_td_pts": 4.0, "pass_int_pts": -2.0, "rush_yard_pts": 0.1, "rush_td_pts": 6.0, "rec_pts": 1.0, "rec_yard_pts": 0.1,
+                       "rec_td_pts": 6.0, "fumble_lost_pts": -2.0, "two_pt_pts": 2.0, "bonus_100_rush_yds": 0.0, "bonus_100_rec_yds": 0.0,
+                       "bonus_300_pass_yds": 0.0, "te_premium": 0.0}),
+)}
+
+
+def _key_text(columns: Sequence[str]) -> Column:
+    """The values of a key as one text, each with its length, so that no two keys look alike; null if any is null."""
+    texts = [F.col(c).cast("string") for c in columns]
+    if len(texts) == 1:
+        return texts[0]
+    return F.concat(*[x for t in texts for x in (F.length(t).cast("string"), F.lit(":"), t, F.lit(" "))])
+
+
+def _probes(name: str, df: DataFrame, of: Contract, referred: Iterable[tuple[str, Reference]]) -> DataFrame:
+    """(rule, key, own, child, parent, missing): what each row says about each rule, in one scan."""
+    out = []
+
+    def probe(rule: str, key: Column, role: str, when: Column) -> None:
+        counts = [F.lit(int(role == r)).alias(r) for r in ("own", "child", "parent", "missing")]
+        out.append(F.when(when, F.struct(F.lit(rule).alias("rule"), key.alias("key"), *counts)))
+
+    def given(columns: Sequence[str]) -> Column:
+        found = F.lit(True)
+        for c in columns:
+            found = found & F.col(c).isNotNull()
+        return found
+
+    for c in of.required:
+        probe(f"{name} required {c}", F.lit(None).cast("string"), "missing", F.col(c).isNull())
+    for columns in (of.key, *of.unique):
+        if columns:
+            probe(f"{name} unique {','.join(columns)}", _key_text(columns), "own", given(columns))
+    for ref in of.references:
+        probe(f"{name} refers {','.join(ref.columns)}", _key_text(ref.columns), "child", given(ref.columns))
+    for child, ref in referred:
+        probe(f"{child} refers {','.join(ref.columns)}", _key_text(ref.parent_columns), "parent", given(ref.parent_columns))
+    probes = F.filter(F.array(*out), lambda p: p.isNotNull()) if out else F.array()
+    return df.select(F.explode(probes).alias("p")).select("p.*")
+
+
+def violations(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> DataFrame:
+    """(table, kind, columns, key, n): every broken rule of every table, in one pass over each.
+
+    kind ``required``: n rows have a null there (key null); ``unique``: n rows share the key;
+    ``refers``: n rows refer to a key that the parent lacks.  Rows with a null in a unique or
+    referring group are not compared there.  A parent that is not among ``tables`` is not
+    checked.  Columns that a required rule names must exist.
+    """
+    found = None
+    for name, df in tables.items():
+        of = contracts[name]
+        own = Contract(of.name, of.schema, of.key, of.unique, tuple(r for r in of.references if r.parent in tables))
+        referred = [(child, r) for child in tables for r in contracts[child].references if r.parent == name]
+        part = _probes(name, df, own, referred)
+        found = part if found is None else found.unionByName(part)
+    counted = found.groupBy("rule", "key").agg(*[F.sum(r).alias(r) for r in ("own", "child", "parent", "missing")])
+    broken = (F.col("own") > 1) | ((F.col("child") > 0) & (F.col("parent") == 0)) | (F.col("missing") > 0)
+    parts = F.split("rule", " ")
+    return counted.where(broken).select(parts[0].alias("table"), parts[1].alias("kind"), parts[2].alias("columns"), "key",
+                                        F.greatest("own", "child", "missing").cast("long").alias("n"))
+
+
+def enforce(df: DataFrame, of: Contract, now: str | None = None) -> DataFrame:
+    """The contract's columns, cast, ready to be written: columns not given take their default, and a null in a required one raises.
+
+    As in a database, a default stands in for an absent column only, not for a null.  Text or
+    numbers that do not fit a type raise (ANSI casts).  ``now`` is the time that NOW stands for.
+    """
+    defaults, columns = dict(of.defaults), []
+    for f in of.schema.fields:
+        if f.name in df.columns:
+            value = F.col(f.name)
+        elif defaults.get(f.name) == NOW:
+            value = F.lit(now) if now else F.current_timestamp()
+        else:
+            value = F.lit(defaults.get(f.name))
+        value = value.cast(f.dataType)
+        if not f.nullable:
+            value = F.when(value.isNull(), F.raise_error(F.lit(f"{of.name}.{f.name} is required")).cast(f.dataType)).otherwise(value)
+        columns.append(value.alias(f.name))
+    return df.select(*columns)
+
+
+# --- shells -------------------------------------------------------------------------------------
+
+#: The projection snapshot as it is computed: points as doubles, before they are stored by ``CONTRACTS``.
 FCT_PROJECTIONS = T.StructType([
-    T.StructField("snapshot_date", T.DateType(), False),
-    T.StructField("source", T.StringType(), False),
-    T.StructField("player_id", T.LongType(), False),
-    T.StructField("season", T.IntegerType(), False),
-    T.StructField("week", T.IntegerType(), False),
-    T.StructField("scoring_format", T.StringType(), False),
-    T.StructField("projected_points", T.DoubleType()),
-    T.StructField("floor", T.DoubleType()),
-    T.StructField("ceiling", T.DoubleType()),
-    *[T.StructField(c, T.DoubleType()) for c in (
-        "proj_pass_yards", "proj_pass_tds", "proj_rush_yards", "proj_rush_tds",
-        "proj_receptions", "proj_rec_yards", "proj_rec_tds")],
-])
-PROJECTION_KEY = ("snapshot_date", "source", "player_id", "season", "week", "scoring_format")
-
-FCT_TEAM_GAME_STATS = T.StructType([
-    T.StructField("team_id", T.IntegerType()), T.StructField("game_id", T.StringType()),
-    T.StructField("season", T.IntegerType()), T.StructField("week", T.IntegerType()),
-    T.StructField("opponent_id", T.IntegerType()), T.StructField("is_home", T.BooleanType()),
-    T.StructField("points", T.IntegerType()), T.StructField("total_yards", T.IntegerType()),
-    T.StructField("pass_yards", T.IntegerType()), T.StructField("rush_yards", T.IntegerType()),
-    T.StructField("plays", T.IntegerType()), T.StructField("seconds_per_play", _D(4, 2)),
-    T.StructField("pass_rate", _D(5, 2)), T.StructField("pace_neutral", _D(5, 2)),
-    T.StructField("points_allowed", T.IntegerType()), T.StructField("yards_allowed", T.IntegerType()),
-    T.StructField("pass_yards_allowed", T.IntegerType()), T.StructField("rush_yards_allowed", T.IntegerType()),
-    T.StructField("sacks", T.IntegerType()), T.StructField("interceptions", T.IntegerType()),
-])
+    T.StructField(f.name, T.LongType() if f.name == "player_id" else T.DoubleType() if isinstance(f.dataType, T.DecimalType) else f.dataType, f.nullable)
+    for f in CONTRACTS["fct_projections"].schema.fields])
+PROJECTION_KEY = _SNAPSHOT
+FCT_TEAM_GAME_STATS = CONTRACTS["fct_team_game_stats"].schema
 
 
 def empty_shell(spark: SparkSession, schema: T.StructType) -> DataFrame:
