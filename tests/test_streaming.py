@@ -41,3 +41,29 @@ def test_upsert_stream_partitioned(spark, tmp_path):
     q.awaitTermination(120)
     got = sorted((r.week, r.player, r.yards) for r in spark.read.parquet(str(tmp_path / "t")).collect())
     assert got == [(1, "a", 12.0), (2, "b", 5.0), (3, "c", 1.0)]
+
+
+def test_late_and_repeated_rows(spark, tmp_path):
+    from pyspark.sql.types import StructType
+    from touchline.streaming.ingest import closed_windows
+    schema = StructType.fromDDL("id int, ts timestamp, kind string")
+    landing, sink, name = f"{tmp_path}/landing", f"{tmp_path}/out", f"late{tmp_path.name}"
+
+    def day(n, hour=1):
+        return dt.datetime(2024, 1, n, hour)
+
+    def run(part, rows):
+        if rows:
+            spark.createDataFrame(rows, schema).write.parquet(f"{landing}/{part}")
+        return closed_windows(spark, f"{landing}/*", schema, sink, "id", "ts", ["kind"], [F.count("*").alias("n")], name)
+
+    def read():
+        return sorted((r.window_start.day, r.kind, r.n) for r in spark.read.parquet(sink).collect())
+
+    first = run("a", [(1, day(1), "x"), (2, day(1, 5), "x"), (2, day(1, 5), "x"), (3, day(2), "y"), (4, day(5), "x")])
+    assert first["read"] == 5 and first["late"] == 0 and read() == [(1, "x", 2), (2, "y", 1)]  # the mark is at day 3
+    second = run("b", [(5, day(2, 9), "x"), (6, day(4), "x"), (4, day(5), "x"), (7, day(9), "x")])
+    assert second["read"] == 4 and second["late"] == 1  # id 5 comes after its day was closed
+    assert read() == [(1, "x", 2), (2, "y", 1), (4, "x", 1), (5, "x", 1)]
+    again = run("c", [])
+    assert again == {"read": 0, "late": 0, "appended": 0} and len(read()) == 4  # started again: nothing is read twice

@@ -16,8 +16,10 @@ from touchline.plans import binding, staging
 from touchline.plans.catalog import register
 from touchline.session import ensure_checkpoint_dir
 from touchline.sources.contracts import Reference, contract, violations
+from touchline.sources.drift import read_drifting
 from touchline.sources.generations import GenerationTable, read_table
 from touchline.sources.scan import DatasetSpec
+from touchline.streaming.ingest import closed_windows
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -92,3 +94,62 @@ def q_contract_violations(spark: SparkSession, sf: str) -> DataFrame:
     orders = binding.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("urgency"))
     lines = binding.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return violations({"accounts": accounts, "orders": orders, "lines": lines}, ORDER_CONTRACTS)
+
+
+@register("drifting_line_files", """
+SELECT l_orderkey, l_linenumber, CASE WHEN year(l_shipdate) <= 1993 THEN CAST(floor(l_quantity) AS DOUBLE)
+         WHEN year(l_shipdate) <= 1995 THEN CAST(floor(l_quantity) * 3000000000 AS DOUBLE) ELSE l_quantity END AS quantity,
+       CASE WHEN year(l_shipdate) <= 1993 THEN NULL WHEN year(l_shipdate) <= 1995 THEN CAST(CAST(l_suppkey AS BIGINT) AS VARCHAR) ELSE l_returnflag END AS flag,
+       CASE WHEN year(l_shipdate) > 1995 THEN l_tax END AS tax, CAST(year(l_shipdate) AS BIGINT) AS season
+FROM lineitem""")
+def q_drifting_files(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-3 / D5: int, bigint and double files, and columns that come and go or change to text, read without a schema."""
+    root = scratch(spark, "lines")
+    lines = binding.table(spark, sf, "lineitem").withColumn("season", F.year("l_shipdate"))
+    early, middle, late = lines.where("season <= 1993"), lines.where("season between 1994 and 1995"), lines.where("season > 1995")
+    keys = ["l_orderkey", "l_linenumber"]
+    for part, columns in (
+            (early, [F.floor("l_quantity").cast("int").alias("quantity")]),
+            (middle, [(F.floor("l_quantity") * 3_000_000_000).cast("bigint").alias("quantity"), F.col("l_suppkey").cast("bigint").alias("flag")]),
+            (late, [F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("flag"), F.col("l_tax").alias("tax")])):
+        part.select(*keys, *columns, "season").write.mode("append").partitionBy("season").parquet(root)
+    return read_drifting(spark, root).select(*keys, "quantity", "flag", "tax", "season")
+
+
+@register("late_event_windows", """
+WITH base AS (
+  SELECT event_id, ts, event_type, value, (date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE))
+    + CASE WHEN event_type = 'error' THEN 7 ELSE 0 END) // 7 AS run FROM events
+), arrivals AS (
+  SELECT * FROM base UNION ALL SELECT event_id, ts, event_type, value, run + 1 FROM base WHERE event_type = 'click'
+), tops AS (SELECT run, max(ts) AS top FROM arrivals GROUP BY run),
+marks AS (
+  SELECT r.run, date_trunc('milliseconds', (SELECT max(top) FROM tops t WHERE t.run < r.run)) - INTERVAL 2 DAY AS mark FROM tops r
+), kept AS (
+  SELECT DISTINCT a.event_id, a.ts, a.event_type, a.value FROM arrivals a JOIN marks m ON m.run = a.run WHERE m.mark IS NULL OR a.ts > m.mark
+)
+SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, count(*) FILTER (WHERE value > 10) AS n_large FROM kept
+WHERE CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) <= (SELECT date_trunc('milliseconds', max(top)) - INTERVAL 2 DAY FROM tops)
+GROUP BY 1, 2""")
+def q_late_event_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Streaming: weekly landings, errors a week late, clicks delivered twice; one run a landing, each going on from the last.
+
+    Every run takes in what has landed and appends the days that the watermark closes;
+    errors older than it are dropped as late, second clicks as repeats.
+    """
+    landing, sink = scratch(spark, "landing"), scratch(spark, "windows")
+    events = binding.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    first = events.agg(F.min(F.to_date("ts")).alias("first"))
+    age = F.datediff(F.to_date("ts"), "first") + F.when(F.col("event_type") == "error", 7).otherwise(0)
+    runs = events.crossJoin(F.broadcast(first)).withColumn("run", (age / 7).cast("int")).drop("first")
+    runs = runs.unionByName(runs.where("event_type = 'click'").withColumn("run", F.col("run") + 1))
+    feed = scratch(spark, "feed")
+    runs.write.partitionBy("run").parquet(feed)
+    runs = spark.read.parquet(feed)
+    schema = T.StructType([f for f in runs.schema.fields if f.name != "run"])
+    name = f"windows-{uuid.uuid4().hex}"
+    aggregates = [F.count("*").alias("n"), F.count_if(F.col("value") > 10).alias("n_large")]
+    for number in sorted(r["run"] for r in runs.select("run").distinct().collect()):  # a few weeks
+        runs.where(F.col("run") == number).drop("run").write.parquet(f"{landing}/run={number}")
+        closed_windows(spark, f"{landing}/*", schema, sink, "event_id", "ts", ["event_type"], aggregates, name)
+    return spark.read.parquet(sink).select(F.to_date("window_start").alias("day"), "event_type", "n", "n_large")

@@ -7,9 +7,10 @@ depend on which file a sampler happened to open (SURVEY D5).
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -79,6 +80,11 @@ def read_keyed_json(spark: SparkSession, path: str, fields: list[str], *, whole_
     """
     text = spark.read.text(path, wholetext=whole_file)
     parsed = text.select(F.explode(F.from_json("value", "map<string, map<string, string>>")).alias("key", "v"))
+    return parsed.select(*keyed_columns(fields))
+
+
+def keyed_columns(fields: Sequence[str]) -> list[Column]:
+    """The fields of a record ``v`` found under ``key``, as clean text (SCA-19: nested values stay compact JSON)."""
     cols = []
     for f in fields:
         raw = F.col("v").getItem(f)
@@ -89,7 +95,7 @@ def read_keyed_json(spark: SparkSession, path: str, fields: list[str], *, whole_
         else:
             val = F.when(raw.isin("[]", "{}"), F.lit(None)).otherwise(raw)
         cols.append(val.alias(f))
-    return parsed.select(*cols)
+    return cols
 
 
 def read_exclusions(spark: SparkSession, path: str) -> DataFrame:
