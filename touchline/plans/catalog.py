@@ -387,11 +387,11 @@ def _board_players(spark: SparkSession, sf: str) -> DataFrame:
             .join(dim, "player_id").filter(F.col("position").isin(list(rules.SKILL_POSITIONS))))
 
 
-def _board_sql_ctes() -> list[str]:
-    roster, teams = _LEAGUE["roster"], _LEAGUE["teams"]
+def _board_sql_ctes(league: dict = _LEAGUE) -> list[str]:
+    roster, teams = league["roster"], league["teams"]
     base = board_plan.base_counts(roster, teams)
     ctes = [
-        *_snap_ctes(_NEXT_TARGET, _LEAGUE["scoring_format"]),
+        *_snap_ctes(_NEXT_TARGET, league["scoring_format"]),
         f"""bp AS (
   SELECT s.player_id, d.position, s.projected_points AS points, s.floor, s.ceiling
   FROM snap s JOIN player_dim d ON d.player_id = s.player_id WHERE d.position IN ({O.SKILL})
