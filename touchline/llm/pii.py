@@ -1,9 +1,9 @@
 """Personal-data spans: patterns propose, checksums confirm, context words adjust.
 
 Base kinds (email, ip, card, phone) follow fixed patterns and stay whatever their score.
-Further kinds (iban, ssn, local phone) are proposed by a pattern, confirmed by a checksum or
-a range rule where there is one, and kept when their score, moved by nearby words, reaches
-``KEEP``.  Offsets are in code points, ends exclusive.
+Further kinds (iban, ssn, local phone, secret) are proposed by a pattern, confirmed by a
+checksum, a range rule or their entropy, and kept when their score, moved by nearby words,
+reaches ``KEEP``.  Offsets are in code points, ends exclusive.
 
 Every pattern runs in time linear in the text: e-mail matches are found from their ``@``
 outwards, and digit runs are matched whole (possessive), as no shorter part of a run could
@@ -13,7 +13,11 @@ match either.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from hashlib import sha256
+from itertools import accumulate
+from math import log2
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +26,7 @@ from pyspark.sql import types as T
 from touchline.llm.common import texts_of, with_arrow_columns
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-EXTRA_KINDS = ("iban", "ssn", "localphone")
+EXTRA_KINDS = ("iban", "ssn", "localphone", "secret")
 KINDS = BASE_KINDS + EXTRA_KINDS
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -33,15 +37,22 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])")
+#: A key-like word, a sign of assignment, and the value that is the secret; or a value of a known form.
+_SECRET = re.compile(r"""(?i:(?<![a-z0-9])(?:api|access|secret|private|auth|client|session|refresh|bearer)?[_ -]?
+    (?:key|token|secret|passw(?:or)?d|pwd|passphrase|credentials?)["']?[ \t]{0,4}(?::=|=>|[:=])[ \t]{0,4}["'`]?)([A-Za-z0-9+/_.=~!@$%^&*-]{8,256}+)
+    |(?<![A-Za-z0-9])(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,72}+)(?![A-Za-z0-9])""", re.X)
+#: Bits a character that tell a drawn string from a word.
+SECRET_BITS = 2.5
 
 #: Score of a proposal by itself; a checksum adds CONFIRMED, words nearby move it.
-PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.4, "ssn": 0.35, "localphone": 0.3}
-CONFIRMED = {"card": 0.4, "iban": 0.5}
+PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.4, "ssn": 0.35, "localphone": 0.3, "secret": 0.4}
+CONFIRMED = {"card": 0.4, "iban": 0.5, "secret": 0.3}
 CONTEXT = {
     "email": ("mail", "contact", "write"), "ip": ("ip", "address", "host", "server"),
     "card": ("card", "visa", "mastercard", "credit", "payment"), "phone": ("phone", "tel", "call", "mobile", "fax"),
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"), "ssn": ("ssn", "social", "security"),
     "localphone": ("phone", "tel", "call", "mobile", "fax", "telefon", "contact"),
+    "secret": ("login", "credential", "credentials", "secret", "auth", "private", "bearer"),
 }
 AGAINST = ("version", "isbn", "invoice", "order", "serial", "sku", "example")
 KEEP, WINDOW = 0.5, 40
@@ -114,13 +125,31 @@ def _ssns(text: str):
             yield m.span()
 
 
+def entropy(text: str) -> float:
+    """Bits a character, from the text's own frequencies."""
+    n = len(text)
+    return -sum(c / n * log2(c / n) for c in Counter(text).values())
+
+
+def _secrets(text: str):
+    """Values with letters and digits that look drawn at random; a plain word after ``password:`` is none."""
+    for m in _SECRET.finditer(text):
+        given = 1 if m.group(1) else 2
+        value = m.group(given).rstrip(".!")  # a sentence may end here
+        mixed = any(map(str.isdigit, value)) and any(map(str.isalpha, value))
+        if len(value) >= 8 and mixed and entropy(value) >= SECRET_BITS:
+            yield m.start(given), m.start(given) + len(value)
+
+
 _FINDERS = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones, "iban": _ibans, "ssn": _ssns,
-            "localphone": lambda text: (m.span() for m in _LOCAL_PHONE.finditer(text))}
+            "secret": _secrets, "localphone": lambda text: (m.span() for m in _LOCAL_PHONE.finditer(text))}
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:
     """Prior plus checksum, up 0.3 for a supporting word nearby, down 0.3 for an opposing one."""
     near = text[max(0, start - WINDOW):start] + " " + text[end:end + WINDOW]
+    if kind == "secret":  # the parts of an address nearby say nothing about it
+        near = " ".join(w for w in near.split() if "@" not in w)
     words = set(_WORDS.findall(near.lower()))
     value = PRIOR[kind] + CONFIRMED.get(kind, 0.0)
     value += 0.3 * (not words.isdisjoint(CONTEXT[kind])) - 0.3 * (not words.isdisjoint(AGAINST))
@@ -134,9 +163,16 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     """
     base = [(k, s, e, score(text, k, s, e)) for k in BASE_KINDS for s, e in _FINDERS[k](text)]
     extra = [(k, s, e, score(text, k, s, e)) for k in EXTRA_KINDS for s, e in _FINDERS[k](text)]
-    if extra:
+    if extra and base:
         taken = sorted((s, e) for _, s, e, _ in base)
-        extra = [x for x in extra if x[3] >= KEEP and not any(s < x[2] and x[1] < e for s, e in taken)]
+        starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))  # the furthest end so far
+
+        def free(start: int, end: int) -> bool:
+            before = bisect_left(starts, end)
+            return not before or reach[before - 1] <= start
+
+        extra = [x for x in extra if free(x[1], x[2])]
+    extra = [x for x in extra if x[3] >= KEEP]
     order = {k: i for i, k in enumerate(KINDS)}
     return sorted(base + extra, key=lambda x: (x[1], order[x[0]], x[2]))
 
