@@ -1,5 +1,7 @@
 """Whole results: no document, line or near copy is left out by a shortcut."""
 
+import time
+
 import pytest
 
 from touchline.llm import line_dedup, packing, queries, simhash, url_filter
@@ -50,3 +52,24 @@ def test_repeated_rows_spread_over_shards(spark, near):
     shards = [r["shard"] for r in out]
     assert len(out) == len({r["bin_id"] for r in out}) == 400
     assert max(map(shards.count, set(shards))) <= 100
+
+
+def test_texts_of_many_lines_take_linear_time(spark):
+    def text(n, own):
+        return "\n".join(f"shared line {k}" if k % 2 else f"{own} line {k}" for k in range(n))
+
+    took = {}
+    for n in (20_000, 100_000):
+        docs = spark.createDataFrame([(i, text(n, f"own{i}"), f"s{i}") for i in range(9)], "doc_id long, text string, source string")
+        began = time.time()
+        out = {r["doc_id"]: (r["tl_removed"], r["left"]) for r in line_dedup.dedup_lines(docs).selectExpr("doc_id", "tl_removed", "size(split(tl_text, '\n')) as left").collect()}
+        took[n] = time.time() - began
+        assert out == {0: (0, n)} | {i: (n // 2, n // 2) for i in range(1, 9)}
+    assert took[100_000] < 8 * max(took[20_000], 3)
+
+
+def test_the_query_considers_lines_of_every_length(spark, tmp_path):
+    rows = [(i, f"Menu\n\u8fd9\u662f\u4e00\u53e5\u8bdd\nown {i}", f"s{i}") for i in range(8)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in queries.op1_line_dedup(spark, str(tmp_path)).collect()}
+    assert out == {0: (3, 0)} | {i: (3, 2) for i in range(1, 8)}

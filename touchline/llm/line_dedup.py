@@ -30,9 +30,10 @@ def line_table(docs: DataFrame, min_words: int, text: str, key: str, site: str)
     Two independent hashes (96 bits) identify a line; the document is identified by its key
     and text hash, so that rows that share a key but not the text stay apart.
     """
-    lines = docs.select(F.col(key).alias("doc"), F.xxhash64(key, text).alias("doc_hash"),
+    whole = docs.select(F.col(key).alias("doc"), F.xxhash64(key, text).alias("doc_hash"),
                         F.xxhash64(F.coalesce(F.col(site).cast("string"), F.lit(""))).alias("site_hash"),
-                        F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("pos", "line"))
+                        F.split(F.coalesce(text, F.lit("")), "\n").alias("lines"))
+    lines = whole.select("doc", "doc_hash", "site_hash", F.posexplode("lines").alias("pos", "line"))  # hashes once a text, not once a line
     lines = lines.withColumn("line", normal_line("line"))
     words = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     lines = lines.where((F.col("line") != "") & (words >= min_words))
@@ -58,7 +59,7 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     return sure.unionByName(near).select("line_a", "line_b", "first")
 
 
-def removals(docs: DataFrame, min_sites: int = 8, min_words: int = 3, text: str = "text", key: str = "doc_id",
+def removals(docs: DataFrame, min_sites: int = 8, min_words: int = 1, text: str = "text", key: str = "doc_id",
              site: str = "source") -> DataFrame:
     """(doc, doc_hash, gone): positions of the lines to remove, for documents that lose any."""
     lines = materialise(line_table(docs, min_words, text, key, site), "lines")
@@ -69,7 +70,7 @@ def removals(docs: DataFrame, min_sites: int = 8, min_words: int = 3, text: str
             .agg(F.sort_array(F.collect_set("pos")).alias("gone")))
 
 
-def dedup_lines(docs: DataFrame, min_sites: int = 8, min_words: int = 3, text: str = "text", key: str = "doc_id",
+def dedup_lines(docs: DataFrame, min_sites: int = 8, min_words: int = 1, text: str = "text", key: str = "doc_id",
                 site: str = "source") -> DataFrame:
     """Every row of ``docs`` with four more columns.
 
@@ -88,7 +89,12 @@ def dedup_lines(docs: DataFrame, min_sites: int = 8, min_words: int = 3, text: s
     joined = docs.join(side, docs[key].eqNullSafe(F.col("tl_doc")) & (F.xxhash64(key, text) == F.col("tl_hash")), "left")
     none = F.col("tl_gone").isNull()
     lines = F.split(text, "\n")
-    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("tl_gone", i)), "\n")
+
+    def without(own: Column) -> Column:  # by place: linear in the lines, however many go
+        kept = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col("tl_gone"))
+        return F.array_join(F.transform(kept, lambda i: F.get(own, i)), "\n")
+
+    left = F.get(F.transform(F.array(lines), without), F.lit(0))  # the lambda's name keeps the text from being split once a line
     out = joined.withColumn("tl_text", F.when(none, F.col(text)).otherwise(left))
     before, after = _words(F.col(text)), _words(F.col("tl_text"))
     out = (out.withColumn("tl_lines", F.when(F.length(text) > 0, F.size(lines)).otherwise(0).cast("long"))

@@ -134,7 +134,7 @@ WITH cut AS (
   SELECT doc_id, site, i AS pos, parts[i] AS raw, trim(regexp_replace(parts[i], '[ \t\r]+', ' ', 'g')) AS line
   FROM (SELECT doc_id, site, parts, unnest(generate_series(1, len(parts))) AS i FROM cut)
 ), able AS (
-  SELECT * FROM lines WHERE line <> '' AND length(line) - length(replace(line, ' ', '')) + 1 >= 3
+  SELECT * FROM lines WHERE line <> ''
 ), spread AS (
   SELECT line, min(doc_id) AS first_doc FROM able GROUP BY line HAVING count(DISTINCT site) >= 8
 ), gone AS (
