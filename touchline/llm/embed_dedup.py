@@ -2,18 +2,19 @@
 
 1. Equal vectors of one label become one class, with its number of rows.
 2. Classes are dealt to overlapping shards: a label with more than ``PIVOT_ROWS`` classes
-   gets pivots from a bounded sample, and a class goes to every pivot whose cosine comes
-   within a margin of its best.  A shard above ``SHARD_ROWS`` is cut into blocks, each
-   pair of blocks a shard of its own, so no task holds more than ``SHARD_ROWS``.
+   gets pivots from a bounded sample, and a class goes to its ``NEAREST`` pivots, however
+   many there are, so that work follows the number of classes.  A shard above ``SHARD_ROWS``
+   is cut into blocks, each pair of blocks a shard of its own, so no task holds more.
 3. Each shard builds a flat graph: near candidates, robustly pruned to ``DEGREE`` edges.
    The adjacency lists of a class are united over its shards.
 4. Each shard searches the united graph for every member: greedy from the medoid, then the
    range is expanded through all neighbours near the threshold.  Candidates are verified
-   by cosine in double precision.  Only link counts and a spanning forest leave a shard; a
-   pair that meets in several shards is counted in the first of them.
-5. Recall is audited against brute force on a bounded sample of classes.  Below
-   ``RECALL`` the deal is repeated with twice the margin; from a margin of twice the
-   chord of the threshold on, every link meets in some shard.
+   by cosine in double precision, and a comparison of the shard's members with each other
+   adds the links that the search did not reach.  Only link counts and a spanning forest leave
+   a shard; a pair that meets in several shards is counted in the first of them.
+5. Recall, of pairs that may not have met in any shard, is audited against brute force on a
+   bounded sample of classes.  Below ``RECALL`` the deal is repeated with twice as many pivots
+   a class, up to all of them.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ log = logging.getLogger(__name__)
 #: Classes per pivot; rows of a shard at most; pivots broadcast at most (all labels).
 PIVOT_ROWS, SHARD_ROWS, MOST_PIVOTS = 256, 2048, 16_384
 DEGREE, CANDIDATES, BEAM, ALPHA = 16, 48, 16, 1.2
-MARGIN = 0.16
+#: Pivots that a class is dealt to.
+NEAREST = 3
 #: Range expansion goes on through neighbours this far below the threshold.
 SLACK = 0.06
 AUDIT_CLASSES, RECALL = 200, 0.995
@@ -90,11 +92,11 @@ def choose_pivots(classes: DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
-def deal(classes: DataFrame, pivots: dict[int, np.ndarray], margin: float) -> DataFrame:
+def deal(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int) -> DataFrame:
     """(class, grp, vec, n, shards, shard): one row per class and shard; shards lists all of a class's shards."""
     shared = classes.sparkSession.sparkContext.broadcast(pivots)  # at most MOST_PIVOTS vectors
 
-    def nearest(batches):
+    def place(batches):
         for batch in batches:
             grps, vectors = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             cells: list = [[0]] * len(grps)
@@ -103,13 +105,14 @@ def deal(classes: DataFrame, pivots: dict[int, np.ndarray], margin: float) -> Da
                 for lo in range(0, len(at), 1024):
                     part = at[lo:lo + 1024]
                     cosines = unit_rows([vectors[i] for i in part]) @ shared.value[grp].T
-                    near = cosines >= cosines.max(axis=1, keepdims=True) - margin
-                    for i, row in zip(part, near):
-                        cells[i] = np.flatnonzero(row).tolist()
+                    k = min(nearest, cosines.shape[1])
+                    best = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+                    for i, row in zip(part, best.tolist()):
+                        cells[i] = row
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells, pa.list_(pa.int64()))],
                                              names=["class", "grp", "cells"])
 
-    placed = classes.select("class", "grp", "vec").mapInArrow(nearest, "class bigint, grp bigint, cells array<bigint>")
+    placed = classes.select("class", "grp", "vec").mapInArrow(place, "class bigint, grp bigint, cells array<bigint>")
     placed = placed.select("class", "grp", F.explode("cells").alias("cell"))
     sizes = placed.groupBy("grp", "cell").count()
     half = SHARD_ROWS // 2
@@ -243,19 +246,28 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
+def verified(x: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether rows a and b of ``x`` have a cosine of at least ``threshold``, in double precision."""
+    keep = np.zeros(len(a), dtype=bool)
+    for at in range(0, len(a), 1 << 16):
+        s = slice(at, at + (1 << 16))
+        keep[s] = np.einsum("kd,kd->k", x[a[s]], x[b[s]]) >= threshold
+    return keep
+
+
 def links_of_shard(ids: np.ndarray, x: np.ndarray, graph: np.ndarray, counts: np.ndarray, shards: list[list[int]],
                    shard: int, threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Rows linked to each member, of the pairs whose first common shard is this one; and a forest of all links."""
     reached = range_search(x, graph, threshold - SLACK)
     np.fill_diagonal(reached, False)
     a, b = np.nonzero(reached | reached.T)
-    keep = np.ones(len(a), dtype=bool)
-    for at in range(0, len(a), 1 << 16):  # the verification, in double precision
-        s = slice(at, at + (1 << 16))
-        keep[s] = np.einsum("kd,kd->k", x[a[s]], x[b[s]]) >= threshold
-    a, b = a[keep], b[keep]
     linked = np.zeros_like(reached)
-    linked[a, b] = True
+    linked[a, b] = verified(x, a, b, threshold)
+    for at in range(0, len(x), 512):  # what the search did not reach
+        p, q = np.nonzero((x[at:at + 512] @ x.T >= threshold - 1e-9) & ~linked[at:at + 512])
+        p, q = p[p + at != q] + at, q[p + at != q]
+        linked[p, q] = verified(x, p, q, threshold)
+    a, b = np.nonzero(linked)
     width = max(map(len, shards))
     table = np.full((len(ids), width), np.iinfo(np.int64).max)
     for i, own in enumerate(shards):
@@ -305,7 +317,9 @@ def shard_links(dealt: DataFrame, threshold: float) -> DataFrame:
 def audit(classes: DataFrame, counted: DataFrame, threshold: float, bound: int = AUDIT_CLASSES) -> float:
     """Share of the links of a bounded sample of classes that were found; brute force over all classes.
 
-    Half of the sample are classes with links found, so that there is something to miss.
+    Half of the sample are classes with links found, so that there is something to miss.  The
+    lesser of two shares counts: of all links, in which a large group weighs much, and the mean
+    over the sampled classes, in which a small one weighs as much.
     """
     known = classes.join(counted, "class", "left").select("class", "grp", "vec", F.coalesce("linked", F.lit(0)).alias("linked"))
     mix = F.xxhash64(F.lit(8), "class")
@@ -335,12 +349,14 @@ def audit(classes: DataFrame, counted: DataFrame, threshold: float, bound: int =
     rows = classes.select("grp", "class", "vec", "n").mapInArrow(brute, "class bigint, linked bigint")
     true = {r["class"]: r["linked"] for r in rows.groupBy("class").agg(F.sum("linked").alias("linked")).collect()}
     there = sum(true.values())
-    found = sum(min(r["linked"], true.get(r["class"], 0)) for r in sample)
-    return found / there if there else 1.0
+    if not there:
+        return 1.0
+    found = {r["class"]: min(r["linked"], true.get(r["class"], 0)) for r in sample}
+    return min(sum(found.values()) / there, float(np.mean([found[c] / n for c, n in true.items() if n])))
 
 
 def embedding_links(vectors: DataFrame, threshold: float = 0.98, key: str = "vec_id", embedding: str = "embedding",
-                    label: str = "label", margin: float = MARGIN) -> DataFrame:
+                    label: str = "label", nearest: int = NEAREST) -> DataFrame:
     """(key, n_links, component_id, kept): one row per row of ``vectors``.
 
     n_links: other rows of the same label with cosine >= ``threshold``; component_id: the
@@ -352,16 +368,16 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.98, key: str = "vec
     """
     rows, classes = vector_classes(vectors, key, embedding, label)
     classes = materialise(classes, "classes")
-    chord = math.sqrt(max(0.0, 2 - 2 * threshold))
     pivots = choose_pivots(classes)
+    most = max(map(len, pivots.values()), default=0)
     while True:
-        found = materialise(shard_links(deal(classes, pivots, margin), threshold), "links")
+        found = materialise(shard_links(deal(classes, pivots, nearest), threshold), "links")
         counted = found.where("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("linked"))
         recall = audit(classes, counted, threshold)
-        log.info("audited recall %.4f at margin %.2f", recall, margin)
-        if recall >= RECALL or margin >= 2 * chord:
+        log.info("audited recall %.4f at %d pivots a class", recall, nearest)
+        if recall >= RECALL or nearest >= most:
             break
-        margin = min(2 * margin, 2 * chord)
+        nearest *= 2
     roots = connected_components(found.where("b is not null"), "a", "b").withColumnRenamed("node", "class")
     placed = (classes.select("class", "n", "least").join(roots, "class", "left").join(counted, "class", "left")
               .withColumn("root", F.coalesce("root", "class")))
