@@ -62,7 +62,7 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_urls(spark: SparkSession, sf_dir: str, listed: DataFrame | None = None) -> DataFrame:
-    """``listed`` is the list (url: canonical URLs); without it, that of the SQL: the pages on LISTED_LABELS."""
+    """``listed`` is the list (url: canonical URLs); without it, that of the SQL: the pages on HARMFUL_LABELS."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge_urls(pages, url_filter.urls_on_labels(pages) if listed is None else listed)
 
@@ -166,7 +166,7 @@ WITH raw AS (
 ), named AS (
   SELECT *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/$', '') AS plain FROM parts
 ), listed AS (
-  SELECT DISTINCT plain FROM named WHERE list_has_any(string_split(host, '.'), ['adult-x', 'spam-farm'])
+  SELECT DISTINCT plain FROM named WHERE list_has_any(string_split(host, '.'), ['adult-x', 'ads-track', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm'])
 )
 SELECT n.page_id, n.host, n.path, r.rule,
        coalesce(r.verdict, CASE WHEN n.host <> '' AND n.plain IN (SELECT plain FROM listed) THEN 'block' ELSE 'allow' END) AS verdict

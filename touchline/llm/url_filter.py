@@ -31,9 +31,7 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Host labels that put a page's URL on the query's list (fixed by the query's SQL).
-LISTED_LABELS = ("adult-x", "spam-farm")
-#: All host labels known to be harmful; a list for production holds the URLs of all of them.
+#: Host labels known to be harmful; without a list of its own the query lists the pages on any of them.
 HARMFUL_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
@@ -102,7 +100,7 @@ def possible_hits(pages: DataFrame, listed: DataFrame, url: str) -> DataFrame:
     held, blocks = bloom_filter(listed, n)
     held = held.select(F.col("block").alias("tl_block"), *[F.col(f"w{i}").alias(f"tl_w{i}") for i in range(_WORDS)])
     small = blocks * 8 * (_WORDS + 1) <= BROADCAST_BYTES
-    placed = pages.withColumn("tl_at", F.coalesce(_block(F.col(url), blocks), F.lit(0)))
+    placed = pages.withColumn("tl_at", F.when(F.col(url).isNull(), F.lit(-1)).otherwise(_block(F.col(url), blocks)))
     placed = placed.join(F.broadcast(held) if small else held, F.col("tl_at") == F.col("tl_block"), "left")
     full = F.lit(True)
     for i, mask in enumerate(_masks(F.col(url))):
@@ -127,16 +125,17 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: Iterable[tuple[str, s
     rows = rows.withColumn("found", found).select(key, "host", "path", F.col("found.rule").alias("rule"),
                                                    F.col("found.verdict").alias("ruled"))
     rows = rows.withColumn("tl_url", F.when(F.col("rule").isNull(), canonical(F.col("host"), F.col("path"))))
-    probed = possible_hits(rows, listed, "tl_url")
-    clear = probed.where(~F.col("tl_hit")).withColumn("verdict", F.coalesce("ruled", F.lit("allow")))
+    settled = rows.where("tl_url is null").withColumn("verdict", F.coalesce("ruled", F.lit("allow")))  # never meet the filter
+    probed = possible_hits(rows.where("tl_url is not null"), listed, "tl_url")
+    clear = probed.where(~F.col("tl_hit")).withColumn("verdict", F.lit("allow"))
     exact = listed.withColumnRenamed("url", "tl_listed")
     hits = probed.where("tl_hit").join(exact.hint("shuffle_hash"), F.col("tl_url") == F.col("tl_listed"), "left")
     hits = hits.withColumn("verdict", F.when(F.col("tl_listed").isNotNull(), "block").otherwise("allow"))
     columns = [key, "host", "path", "rule", "verdict"]
-    return clear.select(*columns).unionByName(hits.select(*columns))
+    return settled.select(*columns).unionByName(clear.select(*columns)).unionByName(hits.select(*columns))
 
 
-def urls_on_labels(pages: DataFrame, labels: Iterable[str] = LISTED_LABELS, url: str = "url") -> DataFrame:
+def urls_on_labels(pages: DataFrame, labels: Iterable[str] = HARMFUL_LABELS, url: str = "url") -> DataFrame:
     """(url): canonical URLs of the pages whose host has one of ``labels`` among its labels."""
     rows = pages.select(host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rows = rows.where(F.arrays_overlap(F.split("host", "\\."), F.array(*map(F.lit, labels))))
