@@ -1,15 +1,18 @@
 """Quality rules: plain counts and tokeniser fertility.
 
-One public vocabulary measures each text: characters per token, the share of byte-fallback
-tokens and the entropy of its tokens.  What is usual differs between languages, so the
-bands are fitted per language (per script where the language is null) over all documents:
-median plus or minus ``WIDTH`` robust deviations.  A text outside a band is rejected, as is
-one that fails the plain rules (too few words, mostly repeated word windows).
+Public vocabularies measure each text: characters per token, the share of byte-fallback
+tokens and the entropy of its tokens, by a piece vocabulary and, where its ranks are given,
+by a byte-level one of many languages (whose byte fallback is tokens of one byte of a
+longer character).  What is usual differs between languages, so the bands are fitted per
+language (per script where the language is null) over all documents: median plus or minus
+``WIDTH`` robust deviations.  A text outside a band is rejected, as is one that fails the
+plain rules (too few words, mostly repeated word windows).
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,9 @@ SYMBOLS = "#*$%&|<>"
 WIDTH = 5.0
 #: Least deviation of a band, as texts of one language may hardly differ.
 FLOOR = {"chars_per_token": 0.03, "byte_share": 0.01, "entropy": 0.02}
-#: Words that a worker remembers the pieces of (about 200 bytes each).
-REMEMBERED = 400_000
+#: Bytes that a worker's table of encoded words may take (words, ids and the table itself), and the longest word in it.
+REMEMBERED_BYTES, LONG_WORD = 64 << 20, 48
+_ENTRY = 250  # bytes of an entry besides its characters and ids
 SCRIPTS = {"latin": "A-Za-zÀ-ɏ", "greek": "Ͱ-Ͽ", "cyrillic": "Ѐ-ӿ", "hebrew": "֐-׿", "arabic": "؀-ۿ",
            "devanagari": "ऀ-ॿ", "hangul": "가-힯", "kana": "぀-ヿ", "han": "一-鿿"}
 
@@ -54,27 +58,37 @@ def plain_counts(text: str, words: list[str]) -> tuple[int, int, int, int, int]:
 
 
 class Fertility:
-    """Pieces per text from a sentencepiece model, word by word."""
+    """Tokens per text from one vocabulary, word by word.
 
-    def __init__(self, model: bytes):
-        import sentencepiece
+    What a word gives is kept, as words repeat heavily, in a table bounded by bytes; long words
+    (unspaced scripts) are not kept beyond the texts at hand.
+    """
 
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        size = self.model.get_piece_size()
-        self.is_byte = np.array([self.model.is_byte(i) for i in range(size)])
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], is_byte: np.ndarray):
+        self.encode, self.is_byte = encode, is_byte
         self.known: dict[str, bytes] = {}
-
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(words)
-        for word, ids in zip(new, self.model.encode(new, num_threads=1)):
-            self.known[word] = np.array(ids, dtype="<u2").tobytes()
-
-    def measure(self, words: list[str]) -> tuple[int, float, float]:
+        self.size = 0
+
+    def tables(self, words: set[str]) -> Callable[[str], bytes]:
+        """A look-up for ``words``: the ids of each, four bytes an id."""
+        short = [w for w in words if len(w) <= LONG_WORD]
+        new = [w for w in short if w not in self.known]
+        if self.size > REMEMBERED_BYTES:
+            self.known, self.size, new = {}, 0, short
+        for word, ids in zip(new, self.encode(new)):
+            self.known[word] = found = np.array(ids, dtype="<u4").tobytes()
+            self.size += _ENTRY + 4 * len(word) + len(found)
+        rest = [w for w in words if len(w) > LONG_WORD]
+        if not rest:
+            return self.known.__getitem__
+        once: dict[str, bytes] = {}
+        for word in rest:  # one at a time: a list of ids takes ten times the bytes
+            once[word] = np.array(self.encode([word])[0], dtype="<u4").tobytes()
+        return lambda w: once[w] if len(w) > LONG_WORD else self.known[w]
+
+    def measure(self, words: list[str], ids_of: Callable[[str], bytes]) -> tuple[int, float, float]:
         """Tokens, share of byte tokens, and entropy in bits over its greatest possible value."""
-        ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype="<u2")
+        ids = np.frombuffer(b"".join(map(ids_of, words)), dtype="<u4")
         if not len(ids):
             return 0, 0.0, 0.0
         counts = np.bincount(ids)
@@ -84,25 +98,60 @@ class Fertility:
         return len(ids), float(share[self.is_byte[at]].sum()), entropy / max(1.0, np.log2(len(ids)))
 
 
-def feature_table(docs: DataFrame, model: bytes, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
-    """(key, lang, counts, chars_per_token, byte_share, entropy) of each whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a vocabulary: its size does not follow the data
+def piece_fertility(model: bytes) -> Fertility:
+    """By a sentencepiece model with byte fallback."""
+    import sentencepiece
+
+    pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
+    is_byte = np.array([pieces.is_byte(i) for i in range(pieces.get_piece_size())])
+    return Fertility(lambda words: pieces.encode(words, num_threads=1), is_byte)
+
+
+def byte_fertility(ranks: dict[bytes, int], pattern: str) -> Fertility:
+    """By byte-level ranks; a word is read with the blank before it, as in running text."""
+    import tiktoken
+
+    coder = tiktoken.Encoding("fertility", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    is_byte = np.zeros(max(ranks.values()) + 1, dtype=bool)
+    is_byte[[r for token, r in ranks.items() if len(token) == 1 and token[0] > 127]] = True
+    return Fertility(lambda words: [coder.encode_ordinary(" " + w) for w in words], is_byte)
+
+
+SECOND = "_bytes"  # ending of the second vocabulary's measures
+
+
+def measures(second: bool) -> dict[str, float]:
+    """Measure -> least deviation of its band."""
+    return FLOOR | ({f"{m}{SECOND}": v for m, v in FLOOR.items()} if second else {})
+
+
+def feature_table(docs: DataFrame, model: bytes, text: str = "text", key: str = "doc_id", lang: str = "lang",
+                  ranks: dict[bytes, int] | None = None, pattern: str | None = None) -> DataFrame:
+    """(key, lang_group, counts, n_tokens, measures) of each whole text."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, ranks, pattern))  # vocabularies: their size does not follow the data
     made: list[Fertility] = []
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     fields = [T.StructField(n, T.LongType()) for n in (*names, "n_tokens")]
-    fields += [T.StructField(n, T.DoubleType()) for n in ("chars_per_token", "byte_share", "entropy")]
+    fields += [T.StructField(n, T.DoubleType()) for n in measures(ranks is not None)]
 
     def compute(batch: pa.RecordBatch) -> list:
         if not made:
-            made.append(Fertility(shared.value))
+            given, given_ranks, split = shared.value
+            made.extend([piece_fertility(given)] + ([byte_fertility(given_ranks, split)] if given_ranks else []))
         rows, texts = [], texts_of(batch, text)
         for at in range(0, len(texts), 256):
             words = [words_of(t) for t in texts[at:at + 256]]
-            made[0].learn(set().union(*words))
+            every = set().union(*words)
+            found = [(f, f.tables(every)) for f in made]
             for value, own in zip(texts[at:at + 256], words):
                 counts = plain_counts(value, own)
-                n, byte_share, entropy = made[0].measure(own)
-                rows.append((*counts, n, counts[1] / n if n else 0.0, byte_share, entropy))
+                row, tokens = list(counts), []
+                for fertility, ids_of in found:
+                    n, byte_share, entropy = fertility.measure(own, ids_of)
+                    tokens.append(n)
+                    row += [counts[1] / n if n else 0.0, byte_share, entropy]
+                row.insert(len(counts), tokens[0])
+                rows.append(row)
         return list(zip(*rows))
 
     script = script_of(F.col(text))
@@ -129,34 +178,39 @@ def fit_bands(features: DataFrame) -> DataFrame:
     with a third of all rows is summed up per task.
     """
     fine = features.where(~base_failed())
-    mid = fine.groupBy("lang_group").agg(*[F.percentile_approx(m, 0.5, 10_000).alias(f"{m}_mid") for m in FLOOR])
+    found = [m for m in measures(True) if m in features.columns]
+    mid = fine.groupBy("lang_group").agg(*[F.percentile_approx(m, 0.5, 10_000).alias(f"{m}_mid") for m in found])
     off = fine.join(F.broadcast(mid), "lang_group")  # one row per language
     return mid.join(off.groupBy("lang_group").agg(
-        *[F.percentile_approx(F.abs(F.col(m) - F.col(f"{m}_mid")), 0.5, 10_000).alias(f"{m}_dev") for m in FLOOR]), "lang_group")
+        *[F.percentile_approx(F.abs(F.col(m) - F.col(f"{m}_mid")), 0.5, 10_000).alias(f"{m}_dev") for m in found]), "lang_group")
 
 
 def judge(features: DataFrame, bands: DataFrame, width: float = WIDTH) -> DataFrame:
     """``features`` with base_failed and kept; languages without a band reject nothing."""
     placed = features.join(F.broadcast(bands), "lang_group", "left")
     inside = F.lit(True)
-    for m, least in FLOOR.items():
+    for m, least in ((m, v) for m, v in measures(True).items() if m in features.columns):
         reach = width * F.greatest(1.4826 * F.col(f"{m}_dev"), F.lit(least))
         gap = F.col(m) - F.col(f"{m}_mid")
-        outside = (gap > reach) if m == "byte_share" else F.abs(gap) > reach
+        outside = (gap > reach) if m.startswith("byte_share") else F.abs(gap) > reach
         inside = inside & ~F.coalesce(outside, F.lit(False))
     return (placed.withColumn("base_failed", base_failed())
             .withColumn("kept", ~F.col("base_failed") & inside))
 
 
-def quality_table(docs: DataFrame, model: bytes, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
+def quality_table(docs: DataFrame, model: bytes, text: str = "text", key: str = "doc_id", lang: str = "lang",
+                  ranks: dict[bytes, int] | None = None, pattern: str | None = None) -> DataFrame:
     """One row per document: plain counts, base_failed, kept, and the fertility measures.
 
+    ``model`` is a serialised sentencepiece model; ``ranks`` and ``pattern``, if given, a second
+    vocabulary, byte-level, with measures and bands of its own.
+
     Null and empty texts have no words and fail the plain rules.  A null language is
     judged by its script.  Repeated rows give repeated rows, null keys pass through, an
     empty table gives an empty result; columns besides key, text and lang are not read.
     """
-    features = materialise(feature_table(docs, model, text, key, lang), "quality_features")
+    features = materialise(feature_table(docs, model, text, key, lang, ranks, pattern), "quality_features")
     bands = materialise(fit_bands(features), "quality_bands")
     out = judge(features, bands)
     return out.select(key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-                      "n_tokens", "chars_per_token", "byte_share", "entropy")
+                      "n_tokens", *measures(ranks is not None))

@@ -14,7 +14,7 @@ from touchline.llm import (ann, bpe, embed_dedup, langid, line_dedup, merkle, pa
 from touchline.llm.common import crc_fold, table
 
 #: Vocabulary files of public tokenizers; callers may point these elsewhere.
-RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
+RANKS, PIECES, MANY_RANKS = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 
 
 def vocabulary(name: str) -> str:
@@ -40,10 +40,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
-def op4_quality(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+def op4_quality(spark: SparkSession, sf_dir: str, model_path: str | None = None, rank_path: str | None = None) -> DataFrame:
+    import public_tokenizers
+
     with open(model_path or vocabulary(PIECES), "rb") as f:
         model = f.read()
-    return quality.quality_table(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), model)
+    ranks = bpe.read_ranks(rank_path or vocabulary(MANY_RANKS))
+    return quality.quality_table(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), model, ranks=ranks, pattern=public_tokenizers.PATTERN)
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
