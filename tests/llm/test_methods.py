@@ -175,7 +175,8 @@ def test_ids_and_round_trip(coder):
 
 def test_other_patterns_and_small_memory(coder, monkeypatch):
     _, ranks, _ = coder
-    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 900)
+    monkeypatch.setattr(bpe, "LONG_CUT", 4)
     monkeypatch.setattr(bpe, "_TOGETHER", 10)
     own = bpe.ByteBpe(ranks, r"\S+|\s+")
     texts = ["one two", "three four one", "two  two\n", "one"] * 3

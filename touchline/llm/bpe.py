@@ -24,8 +24,9 @@ from pyspark.sql import types as T
 
 from touchline.llm.common import texts_of, with_arrow_columns
 
-#: Entries in each of the two generations that a worker remembers (about 350 bytes an entry).
-REMEMBERED = 200_000
+#: Bytes that each of the two generations a worker remembers may take, and the longest cut in them (characters).
+REMEMBERED_BYTES, LONG_CUT = 48 << 20, 64
+_ENTRY = 300  # bytes of an entry besides its text, ids and bytes
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _LETTER = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af"
 #: Cheap cuts at places where a match of the pattern always ends: after a run of letters that ASCII
@@ -97,6 +98,7 @@ class ByteBpe:
         self.to_char = dict(enumerate(byte_characters()))
         self.known: dict[str, tuple[str, int, bytes]] = {}
         self.older: dict[str, tuple[str, int, bytes]] = {}
+        self.size = 0  # of what is known, in bytes
 
     def encode_pretokens(self, pretokens: list[str]) -> list[list[int]]:
         mapped = [p.encode().decode("latin-1").translate(self.to_char) for p in pretokens]
@@ -121,6 +123,12 @@ class ByteBpe:
         for cut, part in zip(cuts, parts):
             ids = next(found) if len(part) == 1 else [i for _ in part for i in next(found)]
             self.known[cut] = " ".join(map(str, ids)), len(ids), self.decode(ids)
+        self.size += sum(_ENTRY + len(self.known[c][0]) + 5 * len(c) for c in cuts) + _ENTRY * len(again)
+
+    def _encode_long(self, cut: str) -> tuple[str, int, bytes]:
+        """As ``_learn`` for one long cut, which is not kept."""
+        ids = [i for found in self.encode_pretokens(self._pretokens(cut)) for i in found]
+        return " ".join(map(str, ids)), len(ids), self.decode(ids)
 
     def encode_texts(self, texts: list[str]) -> Iterator[tuple[str, int, bytes]]:
         """For each text: decimal ids joined by one space, their number, and the bytes they decode to."""
@@ -130,12 +138,12 @@ class ByteBpe:
             while end < len(texts) and (end == at or chars + len(texts[end]) <= _TOGETHER):
                 chars += len(texts[end])
                 end += 1
-            if len(self.known) > REMEMBERED:
-                self.known, self.older = {}, self.known
+            if self.size > REMEMBERED_BYTES:
+                self.known, self.older, self.size = {}, self.known, 0
             cuts = [self.cut(t) for t in texts[at:end]]
-            self._learn([c for c in set().union(*cuts) if c not in self.known])
+            self._learn([c for c in set().union(*cuts) if len(c) <= LONG_CUT and c not in self.known])
             for own in cuts:
-                rows = list(map(self.known.__getitem__, own))
+                rows = [self.known[c] if len(c) <= LONG_CUT else self._encode_long(c) for c in own]
                 ids, counts, decoded = zip(*rows) if rows else ((), (), ())
                 yield " ".join(ids), sum(counts), b"".join(decoded)
             at = end
