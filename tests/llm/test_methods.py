@@ -355,7 +355,7 @@ def test_pipeline_like_plain_steps(spark):
     for i, text, source in rows:
         for pos, raw in enumerate(text.split("\n")):
             line = re.sub("[ \t\r]+", " ", raw).strip(" ")
-            if len(line.split(" ")) >= 3:
+            if line:
                 sites.setdefault(line, set()).add(source)
                 first.setdefault(line, (i, pos))
     cleaned = []
@@ -364,7 +364,7 @@ def test_pipeline_like_plain_steps(spark):
         plain = [re.sub("[ \t\r]+", " ", raw).strip(" ") for raw in lines]
         left = [raw for pos, (raw, line) in enumerate(zip(lines, plain)) if len(sites.get(line, ())) < 8 or first[line] == (i, pos)]
         new = "\n".join(left)
-        if not text.split() or len(new.encode().split()) >= 0.5 * len(text.encode().split()):
+        if new.encode().split() or not text.encode().split():  # only documents left without any word go
             cleaned.append((i, new))
     prints = simhash.fingerprints([t for _, t in cleaned], 3, 42).tolist()
     near = [(a[0], b[0]) for k, (a, p) in enumerate(zip(cleaned, prints)) for b, q in zip(cleaned[:k], prints[:k]) if (p ^ q).bit_count() <= 2]

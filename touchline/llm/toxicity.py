@@ -102,14 +102,17 @@ def _entries(texts: list[str]) -> list[list[str]]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int, text: str, key: str, label: str) -> DataFrame:
     """(key, text, toxic, fold): the labelled documents that may be learned from, ``bound`` at most.
 
-    Taken by least hash of the key; a key labelled twice counts as toxic if either says so.
+    Taken by least hash of the key; a key labelled twice counts as toxic if either says so, and
+    of several texts of one key the one of least hash is learned from, whatever their order.
     """
     rows = (labels.where(F.col(label).isNotNull() & (crc_fold(F.col(key), 3) != 1))
             .groupBy(key).agg(F.max(F.col(label).cast("int")).alias("toxic")))
     chosen = rows.orderBy(F.xxhash64(F.lit(5), key), key).limit(bound)
     fold = F.pmod(F.xxhash64(F.lit(6), key), F.lit(FOLDS)).cast("int")
-    found = docs.select(key, text).join(F.broadcast(chosen), key).dropDuplicates([key])
-    return found.select(key, F.coalesce(text, F.lit("")).alias("text"), "toxic", fold.alias("fold"))
+    found = docs.select(key, text).join(F.broadcast(chosen), key)
+    least = F.struct(F.xxhash64(text).alias("hash"), F.coalesce(text, F.lit("")).alias("text"))
+    found = found.groupBy(key, "toxic").agg(F.min(least).alias("least"))
+    return found.select(key, F.col("least.text").alias("text"), "toxic", fold.alias("fold"))
 
 
 def learn_lexicons(sample: DataFrame) -> list[Lexicon]:
