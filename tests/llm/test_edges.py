@@ -55,7 +55,7 @@ def per_row(docs, labels):
         "pii": lambda: pii.pii_table(docs),
         "toxicity": lambda: toxicity.toxicity_table(docs, labels),
         "quality": lambda: quality.quality_table(docs, model_bytes()),
-        "langid": lambda: langid.language_table(docs, n_docs=4, chars=50),
+        "langid": lambda: langid.language_table(docs, n_docs=4, usual=(50, 10_000)),
         "bpe": lambda: bpe.bpe_table(docs, ranks, public_tokenizers.PATTERN),
         "simhash": lambda: simhash.simhash_components(docs),
     }
@@ -76,7 +76,7 @@ def test_defined_results(docs, labels):
     sims = {r["doc_id"]: r for r in simhash.simhash_components(docs).collect() if r["doc_id"] is not None}
     assert {sims[i]["fp"] for i in (20, 21, 22)} == {0} and {sims[i]["component_id"] for i in (20, 21, 22)} == {20}
     assert sims[25]["component_id"] == 1
-    langs = {r["doc_id"]: r for r in langid.language_table(docs, n_docs=4, chars=50).collect()}
+    langs = {r["doc_id"]: r for r in langid.language_table(docs, n_docs=4, usual=(50, 10_000)).collect()}
     assert all(langs[i]["lang_pred"] == "und" and langs[i]["score"] == 0.0 for i in (20, 21, 22))
     rules = {r["doc_id"]: r for r in quality.quality_table(docs, model_bytes()).collect()}
     assert all(rules[i]["n_words"] == 0 and rules[i]["base_failed"] and not rules[i]["kept"] for i in (20, 21, 22))

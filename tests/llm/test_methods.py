@@ -232,21 +232,29 @@ def test_phrases_like_plain_search():
     parser = langid.CrossParser(samples)
 
     def plain(text, lang):
-        sample = bytes(c for t in samples[lang] for c in [*parser.alphabet[langid._points([t])].tolist(), 1])
-        n = 0
-        for at in range(0, len(text), langid.BLOCK):
-            block, i = bytes(parser.alphabet[langid._points([text[at:at + langid.BLOCK]])].tolist()), 0
-            while i < len(block):
-                j = i + 1
-                while j <= len(block) and block[i:j] in sample:
-                    j += 1
-                i, n = max(i + 1, j - 1), n + 1
+        sample = [c for t in samples[lang] for c in [*parser.alphabet[langid._points([t])].tolist(), 1]]
+        sample = "".join(map(chr, sample))
+        coded, i, n = "".join(map(chr, parser.alphabet[langid._points([text])].tolist())), 0, 0
+        while i < len(coded):
+            j = i + 1
+            while j <= len(coded) and coded[i:j] in sample:
+                j += 1
+            i, n = max(i + 1, j - 1), n + 1
         return n
 
     texts = ["".join(rnd.choice("abcdz, ") for _ in range(rnd.choice([1, 30, 512, 513, 1500]))) for _ in range(12)]
+    texts += [samples["x"][0] * 6, "a" + samples["y"][0] * 4, "b" * 1500, samples["y"][0][250:] + samples["y"][0]]  # phrases over whole stretches
     assert parser.phrases(texts).tolist() == [[plain(t, lang) for lang in parser.languages] for t in texts]
 
 
+def test_every_letter_has_its_own_code():
+    han = "".join(chr(c) for c in range(0x4e00, 0x4e00 + 3000))
+    parser = langid.CrossParser({"zh": [han], "en": ["plain english text"]})
+    assert len({parser.alphabet[ord(c)] for c in han}) == 3000
+    zh = parser.languages.index("zh")
+    assert parser.phrases([han[::-1]])[0][zh] == 3000 and parser.phrases([han])[0][zh] == 1
+
+
 def test_held_out_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.language_table(docs).where("held_out").join(docs, "doc_id")
