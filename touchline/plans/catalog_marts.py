@@ -11,6 +11,7 @@ from touchline.plans import binding, feeds, identity, marts
 from touchline.plans import oracle as O
 from touchline.plans.catalog import register
 from touchline.session import cut_lineage
+from touchline.sources.contracts import CONTRACTS
 
 INGESTED_AT = "2026-09-01 00:00:00"
 
@@ -247,66 +248,54 @@ def q_snaps(spark: SparkSession, sf: str) -> DataFrame:
     return marts.snap_counts(snaps_feed(spark, sf), _identity(spark, sf)["xwalk"])
 
 
-FACT_STAT_SQL = [
-    ("attempts", "pass_attempts", "INTEGER"), ("completions", "pass_completions", "INTEGER"),
-    ("passing_yards", "pass_yards", "INTEGER"), ("passing_tds", "pass_tds", "INTEGER"),
-    ("passing_interceptions", "interceptions", "INTEGER"), (None, "sacks_taken", "INTEGER"),
-    (None, "pass_air_yards", "INTEGER"), (None, "pass_epa", "DECIMAL(7,3)"), (None, "cpoe", "DECIMAL(5,2)"),
-    ("carries", "rush_attempts", "INTEGER"), ("rushing_yards", "rush_yards", "INTEGER"),
-    ("rushing_tds", "rush_tds", "INTEGER"), ("targets", "targets", "INTEGER"), ("receptions", "receptions", "INTEGER"),
-    ("receiving_yards", "rec_yards", "INTEGER"), ("receiving_tds", "rec_tds", "INTEGER"),
-    (None, "air_yards", "INTEGER"), (None, "yac", "INTEGER"), (None, "target_share", "DECIMAL(5,2)"),
-    (None, "air_yards_share", "DECIMAL(5,2)"),
-]
-_stat_sql = ",\n    ".join(f"CAST({'w.' + s if s else 'NULL'} AS {t}) AS {d}" for s, d, t in FACT_STAT_SQL)
-_canon = "coalesce((SELECT new FROM canon WHERE old = {c}), {c})"
-SQL_FACT = f"""fact AS (
-  SELECT CAST(x.player_id AS BIGINT) AS player_id, tg.game_id, CAST(w.season AS INTEGER) AS season,
-    CAST(w.week AS INTEGER) AS week, dt.team_id, dopp.team_id AS opponent_id, w.position,
-    sc.offensive_snaps, sc.offensive_snap_pct, NULL::INTEGER AS routes_run,
-    {_stat_sql},
-    NULL::DECIMAL(6,2) AS rush_yards_before_contact, NULL::DECIMAL(6,2) AS rush_yards_over_expected,
-    NULL::DECIMAL(4,2) AS avg_separation, NULL::DECIMAL(4,2) AS avg_cushion,
-    rz.rz_carries, rz.rz_targets, rz.inside_5_carries, rz.inside_5_targets,
-    CAST(0 AS INTEGER) AS fumbles,
-    CAST(coalesce(w.rushing_fumbles_lost, 0) AS INTEGER) AS fumbles_lost,
-    CAST(coalesce(w.rushing_2pt_conversions, 0) AS INTEGER) AS two_pt_conversions
-  FROM weekly_feed w
-  JOIN (SELECT source_id, player_id FROM xwalk WHERE source = 'gsis') x ON x.source_id = w.player_id
-  JOIN dim_teams dt ON dt.season = w.season AND dt.abbr = {_canon.format(c='w.team')}
-  JOIN team_games tg ON tg.season = w.season AND tg.week = w.week AND tg.team_id = dt.team_id
-  LEFT JOIN dim_teams dopp ON dopp.season = w.season AND dopp.abbr = {_canon.format(c='w.opponent_team')}
-  LEFT JOIN snaps sc ON sc.player_id = x.player_id AND sc.season = w.season AND sc.week = w.week
-  LEFT JOIN redzone rz ON rz.player_id = x.player_id AND rz.season = w.season AND rz.week = w.week
-  WHERE w.player_id IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY x.player_id, tg.game_id ORDER BY w.season, w.week, dt.team_id) = 1
+#: Weekly columns that the binding's feed has, as they are named in the fact; the fact's other stat columns are NULL.
+FACT_FEED = {"attempts": "pass_attempts", "completions": "pass_completions", "passing_yards": "pass_yards", "passing_tds": "pass_tds",
+             "passing_interceptions": "interceptions", "carries": "rush_attempts", "rushing_yards": "rush_yards", "rushing_tds": "rush_tds",
+             "targets": "targets", "receptions": "receptions", "receiving_yards": "rec_yards", "receiving_tds": "rec_tds"}
+_FACT_TYPES = {f.name: f.dataType.simpleString() for f in CONTRACTS["fct_player_game_stats"].schema.fields}
+
+
+def _fact_columns() -> str:
+    """The fact's columns in the contract's order: keys, usage, stats by the feed's names, extras."""
+    from_feed = {out: f"feed.{given}" for given, out in FACT_FEED.items()}
+    own = {"player_id": "who.player_id", "game_id": "side.game_id", "season": "feed.season", "week": "feed.week", "team_id": "side.team_id",
+           "opponent_id": "met.team_id", "position": "feed.position", "fumbles": "0", "fumbles_lost": "coalesce(feed.rushing_fumbles_lost, 0)",
+           "two_pt_conversions": "coalesce(feed.rushing_2pt_conversions, 0)"}
+    given = own | from_feed | {c: f"extra.{c}" for c in EXTRAS}
+    kinds = _FACT_TYPES | {"player_id": "BIGINT", "position": "VARCHAR", "game_id": "VARCHAR"}
+    return ",\n    ".join(f"CAST({given.get(c, 'NULL')} AS {kinds[c]}) AS {c}" for c in kinds if c != "ingested_at")
+
+
+#: What the three enrichments add to a player's week.
+EXTRAS = ("offensive_snaps", "offensive_snap_pct", "rz_carries", "rz_targets", "inside_5_carries", "inside_5_targets",
+          "avg_separation", "avg_cushion", "rush_yards_over_expected")
+SQL_FACT = f"""codes AS (  -- every spelling of a team's code in a season
+  SELECT season, abbr AS code, team_id FROM dim_teams
+  UNION ALL SELECT t.season, c.old, t.team_id FROM canon c, dim_teams t WHERE t.abbr = c.new
+), sides AS (  -- who plays when, by any spelling
+  SELECT c.season, g.week, c.code, g.team_id, g.game_id FROM codes c, team_games g WHERE g.season = c.season AND g.team_id = c.team_id
+), extras AS (  -- the enrichments as one relation, a row for each player's week
+  SELECT player_id, season, week, {', '.join(f'max({c}) AS {c}' for c in EXTRAS)} FROM (
+    SELECT * FROM snaps UNION ALL BY NAME SELECT * FROM redzone UNION ALL BY NAME SELECT * FROM ngs) u GROUP BY ALL
+), fact AS (
+  SELECT DISTINCT ON (player_id, game_id) * FROM (
+    SELECT {_fact_columns()}
+    FROM sides side
+    JOIN weekly_feed feed ON (feed.season, feed.week, feed.team) = (side.season, side.week, side.code)
+    JOIN xwalk who ON (who.source, who.source_id) = ('gsis', feed.player_id)
+    LEFT JOIN extras extra ON (extra.player_id, extra.season, extra.week) = (who.player_id, feed.season, feed.week)
+    LEFT JOIN codes met ON (met.season, met.code) = (feed.season, feed.opponent_team)) every
+  ORDER BY player_id, game_id, season, week, team_id
 )"""
 
 
-@register("player_game_fact", _with(
-    BASE, IDENT, SCHED, O.mode_cte("wk_mode", "player_games", ["player_id", "season", "week"], "position"),
-    feeds.SQL_WEEKLY, SQL_SNAPS, SQL_PLAYS, SQL_FACT) + "\nSELECT * FROM fact")
-def q_fact(spark: SparkSession, sf: str) -> DataFrame:
-    """JOI-1..5 + PRJ-1/2 + SCA-8 + WIN-4 + DOM-19: the per-player-per-game fact."""
-    return _fact(spark, sf, _identity(spark, sf))
-
-
-def _fact(spark: SparkSession, sf: str, i: _Identity, ngs: DataFrame | None = None) -> DataFrame:
-    _, teams, games = _teams_games(spark, sf)
-    snaps = marts.snap_counts(snaps_feed(spark, sf), i["xwalk"])
-    rz = marts.pbp_redzone(plays_feed(spark, sf), i["xwalk"])
-    f = marts.fct_player_game_stats(feeds.weekly_stats(spark, sf), i["xwalk"], teams, games,
-                                    snaps=snaps, ngs=ngs, redzone=rz, aliases=feeds.ALIASES, ingested_at=INGESTED_AT)
-    return f.drop("ingested_at")
-
-
-def tracking_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Receiving and rushing tracking rows from lineitem, one per (gsis, season, week) each.
+def tracking_feeds(spark: SparkSession, sf: str, plays: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Receiving and rushing tracking rows from the plays, one per (gsis, season, week) each.
 
     'A' lines are receiving, 'R' lines rushing.  As in the tracking feed the final week is
     numbered 23 and there is no week 22: the lines of both half-months are that one week.
     """
-    p = plays_feed(spark, sf).withColumn("week", F.when(F.col("week") == 22, 23).otherwise(F.col("week")))
+    p = (plays_feed(spark, sf) if plays is None else plays).withColumn("week", F.when(F.col("week") == 22, 23).otherwise(F.col("week")))
     yards = F.col("yardline_100")
 
     def per_week(who: str, *stats) -> DataFrame:
@@ -338,20 +327,25 @@ ngs AS (
   FROM (SELECT * FROM receiving FULL OUTER JOIN rushing USING (gsis, season, week)) n
   JOIN xwalk x ON x.source = 'gsis' AND x.source_id = n.gsis
 )"""
-SQL_FACT_TRACKED = (SQL_FACT
-    .replace("NULL::DECIMAL(6,2) AS rush_yards_over_expected", "ng.rush_yards_over_expected")
-    .replace("NULL::DECIMAL(4,2) AS avg_separation, NULL::DECIMAL(4,2) AS avg_cushion", "ng.avg_separation, ng.avg_cushion")
-    .replace("  LEFT JOIN redzone rz", "  LEFT JOIN ngs ng ON ng.player_id = x.player_id AND ng.season = w.season AND ng.week = w.week\n"
-                                       "  LEFT JOIN redzone rz"))
-
-
-@register("player_game_fact_tracked", _with(
-    BASE, IDENT, SCHED, O.mode_cte("wk_mode", "player_games", ["player_id", "season", "week"], "position"),
-    feeds.SQL_WEEKLY, SQL_SNAPS, SQL_PLAYS, SQL_NGS, SQL_FACT_TRACKED) + "\nSELECT * FROM fact")
-def q_fact_tracked(spark: SparkSession, sf: str) -> DataFrame:
-    """JOI-5/JOI-6: the per-player-per-game fact with its third enrichment, receiving FULL OUTER rushing tracking."""
+_FACT = _with(BASE, IDENT, SCHED, O.mode_cte("wk_mode", "player_games", ["player_id", "season", "week"], "position"),
+              feeds.SQL_WEEKLY, SQL_SNAPS, SQL_PLAYS, SQL_NGS, SQL_FACT) + "\nSELECT * FROM fact"
+
+
+@register("player_game_fact", _FACT)
+@register("player_game_fact_tracked", _FACT)
+def q_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """JOI-1..6 + PRJ-1/2 + SCA-8 + WIN-4 + DOM-19: the per-player-per-game fact with its three enrichments.
+
+    The tracking one is receiving FULL OUTER rushing.  The plays are written once and read by
+    the red-zone counts and both tracking feeds.
+    """
     i = _identity(spark, sf)
-    return _fact(spark, sf, i, marts.ngs_player_week(*tracking_feeds(spark, sf), i["xwalk"]))
+    _, teams, games = _teams_games(spark, sf)
+    plays = cut_lineage(plays_feed(spark, sf))
+    out = marts.fct_player_game_stats(feeds.weekly_stats(spark, sf), i["xwalk"], teams, games, snaps=marts.snap_counts(snaps_feed(spark, sf), i["xwalk"]),
+                                      ngs=marts.ngs_player_week(*tracking_feeds(spark, sf, plays), i["xwalk"]),
+                                      redzone=marts.pbp_redzone(plays, i["xwalk"]), aliases=feeds.ALIASES, ingested_at=INGESTED_AT)
+    return out.drop("ingested_at")
 
 
 @register("crosswalk_rejects", _with(BASE, IDENT, SQL_SNAPS) + """

@@ -18,8 +18,10 @@ from touchline.functions.scalars import (
     canonical_code, kickoff_timestamp, null_safe_sum, remap_value, season_type, try_date,
     try_int_from_double, try_int_from_text,
 )
+from touchline.operators.joins import bounded_broadcast
 from touchline.operators.keys import keep_first
 from touchline.operators.setops import both_sides
+from touchline.session import cut_lineage
 from touchline.sources import rules
 
 
@@ -210,6 +212,10 @@ FACT_STAT_COLUMNS = (
 )
 
 
+#: Rows of a team or schedule side that are broadcast to the fact (some 60 bytes each).
+MOST_SIDES = 500_000
+
+
 def fct_player_game_stats(stats: DataFrame, crosswalk: DataFrame, teams: DataFrame, games: DataFrame,
                           snaps: DataFrame | None = None, ngs: DataFrame | None = None,
                           redzone: DataFrame | None = None, aliases: Mapping[str, str] | None = None,
@@ -224,14 +230,15 @@ def fct_player_game_stats(stats: DataFrame, crosswalk: DataFrame, teams: DataFra
     """
     ps = stats.filter(F.col("player_id").isNotNull()).withColumnRenamed("player_id", "gsis_id")
     x = _xwalk(crosswalk, "gsis", "gsis_id")
-    t = teams.select("season", "abbr", "team_id")
-    tg = team_games(games).select("season", "week", "team_id", "game_id")
+    # a row a team and season, and two a game: written once, and broadcast if they are as few as they should be
+    t, _ = bounded_broadcast(cut_lineage(teams.select("season", "abbr", "team_id")), MOST_SIDES)
+    tg, _ = bounded_broadcast(cut_lineage(team_games(games).select("season", "week", "team_id", "game_id")), MOST_SIDES)
     j = (ps.join(x, "gsis_id")
          .withColumn("_team", canonical_code(F.col("team"), aliases))
          .withColumn("_opp", canonical_code(F.col("opponent_team"), aliases)))
     j = j.join(t.select("season", F.col("abbr").alias("_team"), "team_id"), ["season", "_team"], "inner")
     j = j.join(tg, ["season", "week", "team_id"], "inner")
-    opp = t.select("season", F.col("abbr").alias("_opp"), F.col("team_id").alias("opponent_id"))
+    opp = t.select("season", F.col("abbr").alias("_opp"), F.col("team_id").alias("opponent_id"))  # keeps the hint
     j = j.join(opp, ["season", "_opp"], "left")
     keys = ["player_id", "season", "week"]
     for extra in (snaps, ngs, redzone):
