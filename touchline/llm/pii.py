@@ -37,10 +37,15 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])")
-#: A key-like word, a sign of assignment, and the value that is the secret; or a value of a known form.
-_SECRET = re.compile(r"""(?i:(?<![a-z0-9])(?:api|access|secret|private|auth|client|session|refresh|bearer)?[_ -]?
-    (?:key|token|secret|passw(?:or)?d|pwd|passphrase|credentials?)["']?[ \t]{0,4}(?::=|=>|[:=])[ \t]{0,4}["'`]?)([A-Za-z0-9+/_.=~!@$%^&*-]{8,256}+)
-    |(?<![A-Za-z0-9])(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,72}+)(?![A-Za-z0-9])""", re.X)
+#: Words that a secret is assigned to, what may stand before them, and the assignment with its value.
+_KEY_WORDS = (b"key", b"token", b"secret", b"passw", b"pwd", b"passphrase", b"credential")
+_BEFORE = re.compile(rb"(?:^|[^a-z0-9])(?:api|access|secret|private|auth|client|session|refresh|bearer)?[_ -]?$")
+_ASSIGNED = re.compile(r"""(?i:key|token|secret|passw(?:or)?d|pwd|passphrase|credentials?)["']?[ \t]{0,4}(?::=|=>|[:=])[ \t]{0,4}["'`]?
+    ([A-Za-z0-9+/_.=~!@$%^&*-]{8,256}+)""", re.X)
+#: Values of a known form, with a text that each of them holds.
+_FORMS = ((b"AKIA", re.compile(r"(?<![A-Za-z0-9])(AKIA[0-9A-Z]{16})(?![A-Za-z0-9])")),
+          (b"gh", re.compile(r"(?<![A-Za-z0-9])(gh[pousr]_[A-Za-z0-9]{36})(?![A-Za-z0-9])")),
+          (b"xox", re.compile(r"(?<![A-Za-z0-9])(xox[abprs]-[A-Za-z0-9-]{10,72}+)(?![A-Za-z0-9])")))
 #: Bits a character that tell a drawn string from a word.
 SECRET_BITS = 2.5
 
@@ -131,14 +136,37 @@ def entropy(text: str) -> float:
     return -sum(c / n * log2(c / n) for c in Counter(text).values())
 
 
+def _assigned(text: str):
+    """Matches of ``_ASSIGNED`` at the key words, each found by a plain search; other characters are one byte each."""
+    plain = text.encode("ascii", "replace")
+    low = plain.lower()
+    hits = []
+    for word in _KEY_WORDS:
+        at = low.find(word)
+        while at >= 0:
+            hits.append(at)
+            at = low.find(word, at + 1)
+    done = 0
+    for at in sorted(hits):
+        if at >= done and _BEFORE.search(low[max(0, at - 10):at]):
+            m = _ASSIGNED.match(text, at)
+            if m:
+                done = m.end()
+                yield m
+    for mark, form in _FORMS:
+        if mark in plain:
+            yield from form.finditer(text)
+
+
 def _secrets(text: str):
     """Values with letters and digits that look drawn at random; a plain word after ``password:`` is none."""
-    for m in _SECRET.finditer(text):
-        given = 1 if m.group(1) else 2
-        value = m.group(given).rstrip(".!")  # a sentence may end here
+    found = set()
+    for m in _assigned(text):
+        value = m.group(1).rstrip(".!")  # a sentence may end here
         mixed = any(map(str.isdigit, value)) and any(map(str.isalpha, value))
         if len(value) >= 8 and mixed and entropy(value) >= SECRET_BITS:
-            yield m.start(given), m.start(given) + len(value)
+            found.add((m.start(1), m.start(1) + len(value)))
+    return sorted(found)
 
 
 _FINDERS = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones, "iban": _ibans, "ssn": _ssns,
