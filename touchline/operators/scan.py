@@ -32,8 +32,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.operators.joins import bounded_broadcast
 from touchline.session import cut_lineage
 
+#: Rows of a table of pieces (one a segment and partition) that are broadcast.
+MOST_PIECES = 500_000
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -49,8 +53,8 @@ def ordered_scan(df: DataFrame, order: Sequence, by: Sequence[str] = (),
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    if row_number and not by and not sums:
-        return _numbered(df, order, row_number, parts)
+    if row_number and not sums:
+        return _numbered(df, order, row_number, parts) if not by else _numbered_by(df, order, by, row_number, parts)
 
     base = df
     for name, expr in sums.items():
@@ -99,6 +103,26 @@ def _numbered(df: DataFrame, order: Sequence[Column], name: str, parts: int) ->
     return out.select(*df.columns, (place + 1 + F.col("_o_rn")).alias(name))
 
 
+def _numbered_by(df: DataFrame, order: Sequence[Column], by: Sequence[str], name: str, parts: int) -> DataFrame:
+    """Row numbers per segment: one range shuffle, and a row for each segment and partition that shift the places.
+
+    As in ``_numbered`` the sorted partition's counter is the place of a row; the first place of
+    its segment there, and the segment's rows in the partitions before, give its number.
+    """
+    keys = [F.col(b) for b in by]
+    placed = cut_lineage(df.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
+                         .withColumn("_at", F.monotonically_increasing_id()))
+    pid = F.shiftright("_at", 33)
+    pieces = placed.groupBy(pid.alias("_o_pid"), *by).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_o_pid").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1
+    pieces = pieces.select("_o_pid", *[F.col(b).alias(f"_o_by_{b}") for b in by], shift.alias("_shift"))
+    pieces, _ = bounded_broadcast(cut_lineage(pieces), MOST_PIECES)
+    same = [pid == F.col("_o_pid")] + [placed[b].eqNullSafe(F.col(f"_o_by_{b}")) for b in by]
+    out = placed.join(pieces, reduce(lambda a, b: a & b, same))
+    return out.select(*df.columns, (F.col("_at") + F.col("_shift")).alias(name))
+
+
 def average_rank(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "avg_rank") -> DataFrame:
     """WIN-5: rank with ties sharing the mean of their positions (1-based).
 
@@ -107,13 +131,16 @@ def average_rank(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "
     is joined back on (by, value).  The right side has one row per key, so AQE's
     skew-join split handles a value shared by a large share of the rows.
     """
+    return df.join(rank_table(df, value, by, out), [*by, value], "left")
+
+
+def rank_table(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "avg_rank") -> DataFrame:
+    """(by, value, out): the average rank of each distinct value; to be joined to ``df``, beside other rank tables of it."""
     by = list(by)
     counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_cnt"))
     scanned = ordered_scan(counts, [F.col(value).asc_nulls_first()], by,
                            sums={"_cum": F.col("_cnt")}, row_number=None)
-    ranks = scanned.select(*by, value,
-                           ((F.col("_cum") - F.col("_cnt")) + (F.col("_cnt") + 1) / 2.0).alias(out))
-    return df.join(ranks, [*by, value], "left")
+    return scanned.select(*by, value, ((F.col("_cum") - F.col("_cnt")) + (F.col("_cnt") + 1) / 2.0).alias(out))
 
 
 def exact_quantile(df: DataFrame, value: str, q: float, by: Sequence[str] = (),

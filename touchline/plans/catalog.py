@@ -284,12 +284,11 @@ def q_grade(spark: SparkSession, sf: str) -> DataFrame:
 SELECT player_id, position, projected, round(actual, 6) AS actual, rp_all, ra_all, rp_pos, ra_pos FROM ev_r""")
 def q_eval_ranks(spark: SparkSession, sf: str) -> DataFrame:
     """WIN-5: average (tie-shared) ranks, global and within position, via ordered scans."""
-    from touchline.operators.scan import average_rank
+    from touchline.operators.scan import rank_table
     e = _evals(spark, sf)
-    r = average_rank(e, "projected", [], "rp_all")
-    r = average_rank(r, "actual", [], "ra_all")
-    r = average_rank(r, "projected", ["position"], "rp_pos")
-    r = average_rank(r, "actual", ["position"], "ra_pos")
+    r = e = cut_lineage(e)
+    for value, by, out in (("projected", [], "rp_all"), ("actual", [], "ra_all"), ("projected", ["position"], "rp_pos"), ("actual", ["position"], "ra_pos")):
+        r = r.join(rank_table(e, value, by, out), [*by, value], "left")
     return r.select("player_id", "position", "projected", r6("actual").alias("actual"),
                     "rp_all", "ra_all", "rp_pos", "ra_pos")
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.scalars import position_order
-from touchline.operators.scan import average_rank, exact_quantile
+from touchline.operators.scan import exact_quantile, rank_table
 from touchline.operators.stats import coverage, error_metrics, safe_pearson
 from touchline.plans.projection import (
     ACTUAL_FIELDS, ACTUAL_SCORE_INPUTS, LINE_SCORE_INPUTS, project_lines, score_expr, season_totals,
@@ -85,11 +85,11 @@ def grade(evals: DataFrame, group: tuple[str, ...] = ()) -> DataFrame:
     empty input (all metrics 0), as the reference returns.
     """
     group = list(group)
-    evals = cut_lineage(evals)  # four rank passes and the rollup read it: materialise once
-    r = average_rank(evals, "projected", group, "rp_all")
-    r = average_rank(r, "actual", group, "ra_all")
-    r = average_rank(r, "projected", group + ["position"], "rp_pos")
-    r = average_rank(r, "actual", group + ["position"], "ra_pos")
+    evals = cut_lineage(evals)  # four rank tables and the rollup read it: materialise once
+    r = evals
+    for value, by, out in (("projected", group, "rp_all"), ("actual", group, "ra_all"),
+                           ("projected", group + ["position"], "rp_pos"), ("actual", group + ["position"], "ra_pos")):
+        r = r.join(rank_table(evals, value, by, out), [*by, value], "left")  # each table from the pairs alone
     agg = r.rollup(*group, "position").agg(
         F.grouping("position").alias("_g"),
         *error_metrics("projected", "actual", "floor", "ceiling"),
