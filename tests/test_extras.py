@@ -23,7 +23,7 @@ def test_snapshot_insert_or_replace(spark, tmp_path):
     write_snapshot(spark, _snap(spark, [("2026-09-01", 1, "ppr", 100.0), ("2026-09-01", 2, "ppr", 50.0)]), root)
     write_snapshot(spark, _snap(spark, [("2026-09-01", 1, "ppr", 110.0), ("2026-09-08", 1, "ppr", 120.0)]), root)
     got = sorted((str(r.snapshot_date), r.player_id, r.projected_points)
-                 for r in spark.read.parquet(root).collect())
+                 for r in read_table(spark, root).collect())
     # same date re-run replaces player 1, player 2 of that date survives, new date appended
     assert got == [("2026-09-01", 1, 110.0), ("2026-09-01", 2, 50.0), ("2026-09-08", 1, 120.0)]
 

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from touchline.operators.upsert import VersionedTable
+from touchline.sources.generations import read_table
 from touchline.streaming.ingest import upsert_stream, windowed_counts
 
 
@@ -39,7 +40,7 @@ def test_upsert_stream_partitioned(spark, tmp_path):
     q = upsert_stream(spark, landing + "/*", StructType.fromDDL(schema), str(tmp_path / "t"),
                       ["season", "week", "player"], name=f"p{tmp_path.name}", partition_cols=["season", "week"])
     q.awaitTermination(120)
-    got = sorted((r.week, r.player, r.yards) for r in spark.read.parquet(str(tmp_path / "t")).collect())
+    got = sorted((r.week, r.player, r.yards) for r in read_table(spark, str(tmp_path / "t")).collect())
     assert got == [(1, "a", 12.0), (2, "b", 5.0), (3, "c", 1.0)]
 
 

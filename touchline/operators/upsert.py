@@ -96,7 +96,10 @@ class VersionedTable:
 
 def upsert_partitions(spark: SparkSession, table_path: str, updates: DataFrame, keys: Sequence[str],
                       partition_cols: Sequence[str]) -> int:
-    """SNK-3 / SNK-5 at scale: rewrite only the partitions an update touches.
+    """SNK-3 on a plain Hive folder: rewrite only the partitions an update touches.
+
+    The overwrite is safe for untouched partitions only; a table that must survive a failed
+    write whole is a ``sources.generations.GenerationTable``, whose ``upsert`` commits at once.
 
     The partition columns must be part of ``keys``, so a key never spans two
     partitions.  Steps: read just the touched partitions (semi-join on the small

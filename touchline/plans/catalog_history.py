@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.functions.scalars import percent_label
 from touchline.operators.asof import asof_join
-from touchline.plans import binding, feeds, history
+from touchline.plans import binding, feeds, history, marts
 from touchline.plans import oracle as O
 from touchline.plans.board_leagues import league_boards
 from touchline.plans.catalog import SNAPSHOT_DATE, _board_sql_ctes, _latest_season, r6, register
-from touchline.plans.projection import project_lines, season_totals, snapshot_rows
+from touchline.plans.projection import ACTUAL_FIELDS, project_lines, score_expr, season_totals, snapshot_rows
 from touchline.sources import rules
 
 
@@ -162,3 +163,51 @@ def q_league_boards(spark: SparkSession, sf: str) -> DataFrame:
     players = (snap.select("player_id", "scoring_format", F.col("projected_points").alias("points")).join(F.broadcast(leagues), "scoring_format")
                .join(roster, "player_id").select("league", "player_id", "position", "points"))
     return league_boards(spark, players, LEAGUES).withColumn("vor", r6("vor"))
+
+
+@register("top_receivers_latest_season", O.with_base("latest AS (SELECT max(season) AS season FROM player_games)") + """
+SELECT d.full_name AS player, n.n_name AS team, CAST(sum(coalesce(g.receptions, 0)) AS BIGINT) AS rec,
+  CAST(sum(coalesce(g.rec_yards, 0)) AS BIGINT) AS rec_yds, CAST(sum(coalesce(g.rec_tds, 0)) AS BIGINT) AS rec_td
+FROM player_games g JOIN latest l ON l.season = g.season JOIN player_dim d ON d.player_id = g.player_id JOIN nation n ON n.n_nationkey = d.nation_key
+GROUP BY d.full_name, n.n_name ORDER BY rec_yds DESC, player, team LIMIT 10""")
+def q_top_receivers(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-17: the latest season's ten players of most receiving yards, summed by name and team."""
+    games = binding.player_games(spark, sf).select("player_id", "season", "receptions", "rec_yards", "rec_tds")
+    latest = F.broadcast(binding.table(spark, sf, "orders").agg(F.max(binding.season_of("o_orderdate")).alias("season")))
+    nation = binding.table(spark, sf, "nation").select(F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("team"))
+    named = games.join(latest, "season").join(binding.player_dim(spark, sf), "player_id").join(nation, "nation_key")
+    totals = [F.sum(F.coalesce(c, F.lit(0))).cast("long").alias(out) for c, out in (("receptions", "rec"), ("rec_yards", "rec_yds"), ("rec_tds", "rec_td"))]
+    return named.groupBy(F.col("full_name").alias("player"), "team").agg(*totals).orderBy(F.desc("rec_yds"), "player", "team").limit(10)
+
+
+@register("new_franchises", """
+SELECT CAST(n_nationkey + 1 AS INTEGER) AS franchise_id, n_name AS canonical_name FROM nation
+WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000)""")
+def q_new_franchises(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-7 + SNK-4 + JOI-8: a franchise list against those already there; only unseen ids come out."""
+    listed = binding.table(spark, sf, "nation").select((F.col("n_nationkey") + 1).alias("franchise_id"), F.col("n_name").alias("canonical_name"))
+    there = binding.table(spark, sf, "supplier").where("s_acctbal > 9000").select((F.col("s_nationkey") + 1).cast("int").alias("franchise_id")).distinct()
+    return marts.dim_franchises(listed, there)
+
+
+@register("stored_weights_scored", O.with_base() + f"""
+SELECT g.player_id, g.game_id, w.scoring_format, round({O.score_sql({s: 'g.' + c for s, c in ACTUAL_FIELDS}, 'g.position', 'w')}, 6) AS points
+FROM player_games g, (SELECT scoring_format, {', '.join(f"coalesce(CASE WHEN scoring_format = 'ppr' AND '{c}' = 'rec_pts' THEN NULL ELSE {c} END, 0) AS {c}"
+                                                        for c in rules.SCORING_COLUMNS)} FROM scoring_settings) w""")
+def q_stored_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """DOM-2: every game under every stored format; a weight that is NULL in the table counts nothing."""
+    stored = rules.scoring_settings(spark).withColumn("rec_pts", F.when(F.col("scoring_format") != "ppr", F.col("rec_pts")))
+    weights = rules.load_scoring_settings(stored)
+    games = binding.player_games(spark, sf).crossJoin(F.broadcast(weights))
+    points = score_expr({s: c for s, c in ACTUAL_FIELDS}, F.col("position"))
+    return games.select("player_id", "game_id", "scoring_format", r6(points).alias("points"))
+
+
+@register("coverage_report", O.with_base() + """
+SELECT position, count(*) AS games, printf('%.0f%%', round_even(100.0 * avg(CASE WHEN rec_tds > 0 THEN 1.0 ELSE 0.0 END), 0)) AS share_scoring
+FROM player_games GROUP BY position""")
+def q_coverage_report(spark: SparkSession, sf: str) -> DataFrame:
+    """SCA-17: a share as percent text, by position."""
+    games = binding.player_games(spark, sf)
+    share = F.avg((F.coalesce("rec_tds", F.lit(0)) > 0).cast("double"))
+    return games.groupBy("position").agg(F.count("*").alias("games"), percent_label(share).alias("share_scoring"))

@@ -180,4 +180,3 @@ def with_base(*ctes: str) -> str:
         ",\n" + ",\n".join(ctes) if ctes else "")
 
 
-ACTUAL_SUM_FIELDS = ACTUAL_FIELDS

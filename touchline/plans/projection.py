@@ -308,12 +308,14 @@ def snapshot_rows(lines: DataFrame, settings: DataFrame, snapshot_date: str,
 
 
 def write_snapshot(spark, rows: DataFrame, table_path: str) -> int:
-    """SNK-5: insert-or-replace snapshot rows on the 6-column key into a table
-    partitioned by snapshot date; only the dates present in ``rows`` are
-    rewritten.  Re-running a date replaces its rows; rows of that date missing
-    from the re-run survive, as in the reference."""
-    from touchline.operators.upsert import upsert_partitions
-    from touchline.sources.contracts import FCT_PROJECTIONS, PROJECTION_KEY
-    from touchline.sources.sinks import conform
-    return upsert_partitions(spark, table_path, conform(rows, FCT_PROJECTIONS), list(PROJECTION_KEY),
-                             ["snapshot_date"])
+    """SNK-5: insert-or-replace snapshot rows on the 6-column key, typed as the contract has them.
+
+    The table is partitioned by snapshot date; only the dates present in ``rows`` are
+    rewritten, in one commit.  Re-running a date replaces its rows; rows of that date missing
+    from the re-run survive, as in the reference.  Read it by ``generations.read_table``.
+    """
+    from touchline.sources.contracts import CONTRACTS, enforce
+    from touchline.sources.generations import GenerationTable
+
+    of = CONTRACTS["fct_projections"]
+    return GenerationTable(spark, table_path).upsert(enforce(rows, of), list(of.key), ["snapshot_date"])

@@ -7,6 +7,7 @@ by construction (their size never grows with the data).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -165,25 +166,10 @@ def scoring_settings(spark: SparkSession, formats: list[str] | None = None) -> D
     return spark.createDataFrame(rows, SCORING_SCHEMA)
 
 
-def scoring_weights_long(spark: SparkSession) -> DataFrame:
-    """Scoring rules in long form (format, stat, weight) — handy for ad-hoc pricing."""
-    col_idx = {c: i for i, c in enumerate(SCORING_COLUMNS)}
-    rows = [(f, stat, float(vals[col_idx[col]])) for f, vals in SCORING_FORMATS.items()
-            for stat, col in POINT_PAIRS]
-    return spark.createDataFrame(rows, "scoring_format string, stat string, weight double")
-
-
-def roster_slots(spark: SparkSession, leagues: list[dict] | None = None) -> DataFrame:
-    """League rosters in long form: (league_id, scoring_format, teams, slot, count)."""
-    leagues = leagues or [DEFAULT_LEAGUE]
-    rows = [(lg["league_id"], lg["scoring_format"], int(lg["teams"]), slot, int(n))
-            for lg in leagues for slot, n in lg["roster"].items()]
-    return spark.createDataFrame(rows, "league_id string, scoring_format string, teams int, slot string, count int")
-
-
-def position_covs(spark: SparkSession, covs: dict | None = None) -> DataFrame:
-    covs = covs or POSITION_COV
-    return spark.createDataFrame([(p, float(c)) for p, c in covs.items()], "position string, cov double")
+def load_scoring_settings(table: DataFrame) -> DataFrame:
+    """DOM-2: a stored scoring table as weights: decimals and numbers become doubles, a NULL or missing weight 0.0."""
+    weight = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) if c in table.columns else F.lit(0.0).alias(c) for c in SCORING_COLUMNS]
+    return table.select("scoring_format", *weight)
 
 
 def franchises(spark: SparkSession) -> DataFrame:

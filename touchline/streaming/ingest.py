@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.operators.keys import keep_first
-from touchline.operators.upsert import VersionedTable, upsert_partitions
+from touchline.operators.upsert import VersionedTable
 from touchline.session import ensure_checkpoint_dir
+from touchline.sources.generations import GenerationTable
 
 
 def _checkpoint(spark: SparkSession, name: str) -> str:
@@ -33,8 +34,9 @@ def upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, table
                   partition_cols: Sequence[str] | None = None):
     """Start a stream that upserts every micro-batch of landed files.
 
-    With ``partition_cols`` (part of the key, e.g. season/week) each batch
-    rewrites only the partitions it touches; otherwise a new version of a
+    With ``partition_cols`` (part of the key, e.g. season/week) each batch rewrites only the
+    partitions it touches, in one commit of a generation table that remembers the batch: one
+    that is run again after a failure changes nothing.  Otherwise a new version of a
     VersionedTable is written per batch.
     """
     table = VersionedTable(spark, table_root)
@@ -42,14 +44,14 @@ def upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, table
            .select("*", F.col("_metadata.file_modification_time").alias("_landed_at"),
                    F.col("_metadata.file_path").alias("_landed_file")))
 
-    def merge(batch: DataFrame, _epoch: int) -> None:
+    def merge(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
         # one row per key inside a micro-batch: the most recently landed file wins
         dedup = keep_first(batch, list(keys), [F.col("_landed_at").desc(), F.col("_landed_file").desc()]) \
             .drop("_landed_at", "_landed_file")
         if partition_cols:
-            upsert_partitions(spark, table_root, dedup, keys, partition_cols)
+            GenerationTable(spark, table_root).upsert(dedup, keys, partition_cols, tag=str(epoch), writer=name)
         else:
             table.upsert(dedup, keys)
 
