@@ -85,7 +85,7 @@ def test_word_tables_are_bounded_by_bytes():
     ranks = bpe.read_ranks(queries.vocabulary(queries.RANKS))
     coder = bpe.ByteBpe(ranks, public_tokenizers.PATTERN)
     tracemalloc.start()
-    for k in range(12):
+    for k in range(5):
         words = quality.words_of(unspaced(250, k))
         assert pieces.measure(words, pieces.tables(set(words)))[0] > 0
         list(coder.encode_texts([unspaced(100, k)]))
