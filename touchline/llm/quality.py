@@ -11,8 +11,9 @@ plain rules (too few words, mostly repeated word windows).
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -64,36 +65,41 @@ class Fertility:
     (unspaced scripts) are not kept beyond the texts at hand.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], is_byte: np.ndarray):
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], is_byte: np.ndarray):
         self.encode, self.is_byte = encode, is_byte
         self.known: dict[str, bytes] = {}
         self.size = 0
+        self.passing: list[str] = []  # long words of the texts at hand
 
     def tables(self, words: set[str]) -> Callable[[str], bytes]:
-        """A look-up for ``words``: the ids of each, four bytes an id."""
-        short = [w for w in words if len(w) <= LONG_WORD]
-        new = [w for w in short if w not in self.known]
+        """A look-up for ``words``: the ids of each, four bytes an id.  It holds until the next call."""
+        for word in self.passing:
+            del self.known[word]
+        self.passing = []
         if self.size > REMEMBERED_BYTES:
-            self.known, self.size, new = {}, 0, short
-        for word, ids in zip(new, self.encode(new)):
-            self.known[word] = found = np.array(ids, dtype="<u4").tobytes()
+            self.known, self.size = {}, 0
+        new = [w for w in words if w not in self.known]
+        short = [w for w in new if len(w) <= LONG_WORD]
+        for word, found in zip(short, self.encode(short)):
+            self.known[word] = found
             self.size += _ENTRY + 4 * len(word) + len(found)
-        rest = [w for w in words if len(w) > LONG_WORD]
-        if not rest:
-            return self.known.__getitem__
-        once: dict[str, bytes] = {}
-        for word in rest:  # one at a time: a list of ids takes ten times the bytes
-            once[word] = np.array(self.encode([word])[0], dtype="<u4").tobytes()
-        return lambda w: once[w] if len(w) > LONG_WORD else self.known[w]
+        self.passing = [w for w in new if len(w) > LONG_WORD]
+        for word in self.passing:  # one at a time: a list of ids takes ten times the bytes
+            self.known[word] = next(iter(self.encode([word])))
+        return self.known.__getitem__
 
     def measure(self, words: list[str], ids_of: Callable[[str], bytes]) -> tuple[int, float, float]:
         """Tokens, share of byte tokens, and entropy in bits over its greatest possible value."""
         ids = np.frombuffer(b"".join(map(ids_of, words)), dtype="<u4")
         if not len(ids):
             return 0, 0.0, 0.0
-        counts = np.bincount(ids)
-        at = np.flatnonzero(counts)
-        share = counts[at] / len(ids)
+        if len(ids) < 1 << 13:  # few against the vocabulary
+            at, counts = np.unique(ids, return_counts=True)
+        else:
+            counts = np.bincount(ids)
+            at = np.flatnonzero(counts)
+            counts = counts[at]
+        share = counts / len(ids)
         entropy = float(-(share * np.log2(share)).sum())
         return len(ids), float(share[self.is_byte[at]].sum()), entropy / max(1.0, np.log2(len(ids)))
 
@@ -104,7 +110,11 @@ def piece_fertility(model: bytes) -> Fertility:
 
     pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
     is_byte = np.array([pieces.is_byte(i) for i in range(pieces.get_piece_size())])
-    return Fertility(lambda words: pieces.encode(words, num_threads=1), is_byte)
+    return Fertility(lambda words: (_packed(ids) for ids in pieces.encode(words, num_threads=1)), is_byte)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 def byte_fertility(ranks: dict[bytes, int], pattern: str) -> Fertility:
@@ -114,7 +124,21 @@ def byte_fertility(ranks: dict[bytes, int], pattern: str) -> Fertility:
     coder = tiktoken.Encoding("fertility", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     is_byte = np.zeros(max(ranks.values()) + 1, dtype=bool)
     is_byte[[r for token, r in ranks.items() if len(token) == 1 and token[0] > 127]] = True
-    return Fertility(lambda words: [coder.encode_ordinary(" " + w) for w in words], is_byte)
+    opens = np.zeros(len(is_byte), dtype=bool)  # tokens that begin with a blank
+    opens[[r for token, r in ranks.items() if token[:1] == b" "]] = True
+    runs = r" ?\p{L}+" in pattern.split("|")  # letters with the blank before them are one match, wherever they stand
+
+    def encode(words: list[str]) -> Iterable[bytes]:
+        plain = [w for w in words if runs and w.isalpha()]
+        found = {}
+        if plain:  # all at once: each begins with the one token that has its blank
+            ids = np.array(coder.encode_ordinary(" " + " ".join(plain)), dtype="<u4")
+            cuts = np.append(np.flatnonzero(opens[ids]), len(ids)) * 4
+            buffer = ids.tobytes()
+            found = {w: buffer[i:j] for w, i, j in zip(plain, cuts.tolist(), cuts[1:].tolist())}
+        return [found[w] if w in found else _packed(coder.encode_ordinary(" " + w)) for w in words]
+
+    return Fertility(encode, is_byte)
 
 
 SECOND = "_bytes"  # ending of the second vocabulary's measures
