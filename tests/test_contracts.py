@@ -58,3 +58,18 @@ def test_keys_that_join_alike_stay_apart(spark):
     rows = spark.createDataFrame([("x y", "z"), ("x", "y z"), ("", "q"), ("q", "")], "a string, b string")
     got = [(r["kind"], r["n"]) for r in violations({"t": rows}, {"t": pair}).collect()]
     assert got == [("refers", 1), ("refers", 1)]
+
+
+def test_whole_number_keys_are_grouped_as_numbers(spark):
+    of = {"p": contract("p", "a bigint, b int", ("a", "b")),
+          "c": contract("c", "k bigint, a int, b int, t string", ("k",), (("a", "b", "k"), ("t",)),
+                        (Reference(("a", "b"), "p", ("a", "b")), Reference(("t",), "p", ("a",))))}
+    parents = spark.createDataFrame([(1, 2), (12, 3), (None, 5), (7, 7), (7, 7)], "a bigint, b int")
+    children = spark.createDataFrame([(1, 1, 2, "12"), (2, 11, 2, "13"), (2, 11, 2, None), (3, None, 5, "7"), (4, 12, 3, "07")], "k bigint, a int, b int, t string")
+    got = violations({"p": parents, "c": children}, of)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
+        ("p", "required", "a", None, 1), ("p", "unique", "a,b", "1:7 1:7 ", 2), ("c", "unique", "k", "2", 2), ("c", "unique", "a,b,k", "2:11 1:2 1:2 ", 2),
+        ("c", "refers", "a,b", "2:11 1:2 ", 2), ("c", "refers", "t", "13", 1), ("c", "refers", "t", "07", 1)]))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    scan = plan[plan.index("Aggregate"):]  # what every row goes through
+    assert "lambda" not in scan and "concat(" not in scan and "cast(k#" not in scan
