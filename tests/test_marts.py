@@ -131,3 +131,30 @@ def test_fact_join_chain(spark):
     assert f[1].game_id == "2018_01_OAK_KC" and f[1].team_id == 201819 and f[1].opponent_id == 201816
     assert f[2].opponent_id == 201819 and f[2].fumbles_lost == 1 and f[1].fumbles_lost == 0
     assert f[1].rec_yards == 60 and f[1].pass_epa is None
+
+
+def test_fact_rows_stay_where_the_weeks_were_joined(spark):
+    """A game of one week is deduplicated without another shuffle of the fact; one listed in two weeks still gives a row a player."""
+    stats = spark.createDataFrame([("00-1", 2018, w, "LV", "KC", "WR", float(w)) for w in (1, 2, 1)] + [("00-2", 2018, 2, "KC", "LV", "RB", 3.0)],
+                                  "player_id string, season int, week int, team string, opponent_team string, position string, receptions double")
+    teams = spark.createDataFrame([(2018, "LV", 1), (2018, "KC", 2)], "season int, abbr string, team_id int")
+    snaps = spark.createDataFrame([(1, 2018, 1, 9, None), (1, 2018, 2, 8, None)],
+                                  "player_id long, season int, week int, offensive_snaps int, offensive_snap_pct decimal(5,2)")
+
+    def fact(*games):
+        listed = spark.createDataFrame(list(games), "season int, week int, game_id string, home_team_id int, away_team_id int")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            out = marts.fct_player_game_stats(stats, _xwalk(spark), teams, listed, snaps=snaps, ingested_at="2026-01-01 00:00:00")
+            rows = sorted((r.player_id, r.game_id, r.week, r.offensive_snaps) for r in out.collect())
+            return rows, out._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    rows, plan = fact((2018, 1, "a", 1, 2), (2018, 2, "b", 1, 2))
+    assert rows == [(1, "a", 1, 9), (1, "b", 2, 8), (2, "b", 2, None)]
+    deals = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert deals and not any("game_id" in line for line in deals)
+    rows, plan = fact((2018, 1, "a", 1, 2), (2018, 2, "a", 1, 2))
+    assert rows == [(1, "a", 1, 9), (2, "a", 2, None)]
+    assert any("game_id" in line for line in plan.splitlines() if "Exchange hashpartitioning(" in line)
